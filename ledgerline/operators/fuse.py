@@ -30,9 +30,10 @@ def fuse(
 
     Plan: the first join is on the key both dedup aggregates are already
     hash-partitioned by, so it adds no exchange; only the link target is
-    re-shuffled for the second join. AQE turns either join into a broadcast when
-    a side's *measured* size is under the broadcast threshold; nothing is
-    broadcast on a guess.
+    re-shuffled for the second join. A side is broadcast only when its size --
+    estimated from the scan at planning, or measured by AQE at run time -- is
+    under ``spark.sql.autoBroadcastJoinThreshold``; otherwise sort-merge joins
+    run, with AQE splitting skewed partitions.
     """
     lk = link.select(
         F.col(link_source).alias("__link_src"),

@@ -40,12 +40,6 @@ def revenue_total(revenue: DataFrame, amount: str = "chiffre_affaires") -> DataF
     return revenue.agg(exact_sum(amount, places=2).alias("ca_total"))
 
 
-def value_stats(df: DataFrame, value: str) -> DataFrame:
-    """One row: mean and *sample* standard deviation of ``value`` (NaN/NULL skipped)."""
-    v = nan_to_null(F.col(value))
-    return df.agg(F.avg(v).alias("__mean"), F.stddev_samp(v).alias("__sd"))
-
-
 def zscore_classify(
     df: DataFrame,
     value: str,
@@ -57,22 +51,23 @@ def zscore_classify(
 ) -> DataFrame:
     """``z = (value - mean) / sd`` over rows with a value; label ``z > threshold``.
 
-    Rows with a NULL value are dropped; a NaN value is kept with a NULL z. When
-    there is one row or no spread, z is NULL (not an error, not NaN) and the row
-    is ordinary; a finiteness rule then reports it.
+    Rows with a NULL value are dropped; a NaN value is kept with a NULL z and
+    skipped by the statistics. With one row or no spread, z is NULL (not an
+    error, not NaN) and the row is ordinary; a finiteness rule then reports it.
 
-    Plan: the two statistics are one partial/final aggregate (a single row),
-    broadcast and joined to every row without a key (BroadcastNestedLoopJoin with
-    a one-row build side), so rows are never gathered in one task. A global
-    ``Window.partitionBy()`` would move every row to one task.
+    Plan: mean and *sample* standard deviation are scalar subqueries over the
+    same rows; the optimizer merges them into one partial/final aggregate whose
+    single value is inlined into a map-only projection. No join, and no global
+    ``Window.partitionBy()`` (which would move every row to one task).
     """
-    keep = list(keep) if keep is not None else [c for c in df.columns]
+    keep = list(keep) if keep is not None else list(df.columns)
     rows = df.filter(F.col(value).isNotNull())
-    stats = value_stats(rows, value)
-    joined = rows.crossJoin(F.broadcast(stats))
     v = nan_to_null(F.col(value))
-    z = F.try_divide(v - F.col("__mean"), F.nullif(F.col("__sd"), F.lit(0.0)))
-    out = joined.select(*[F.col(c) for c in keep], z.alias("z_score"))
+    stats = rows.select(v.alias("__v"))
+    mean = stats.select(F.avg("__v")).scalar()
+    sd = stats.select(F.stddev_samp("__v")).scalar()
+    z = F.try_divide(v - mean, F.nullif(sd, F.lit(0.0)))
+    out = rows.select(*[F.col(c) for c in keep], z.alias("z_score"))
     return out.withColumn(
         label_col,
         F.when(F.col("z_score") > F.lit(threshold), F.lit(outlier_label)).otherwise(F.lit(ordinary_label)),
