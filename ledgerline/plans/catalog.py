@@ -587,12 +587,16 @@ def q_csv_roundtrip(spark, d):
 
 @register("snapshot_roundtrip", CHAIN_SQL + "SELECT * FROM fusion")
 def q_snapshot_roundtrip(spark, d):
+    """Write the dedup stages, fuse from the written files, snapshot all four
+    datasets, and read the fused table back from the snapshot."""
+    from ledgerline.plans.batch import Stager
+
     ch = C.build_chain(spark, d)
-    stage_root = scratch_path(spark, "stages")
-    stages = {"erp_dedup": ch.erp_dedup, "web_dedup": ch.web_dedup, "link_dedup": ch.link_dedup, "fusion": ch.fused}
-    paths = {}
-    for name, df in stages.items():
-        paths[name] = f"{stage_root}/{name}"
-        files.write_parquet(df, paths[name])
-    snap = files.copy_datasets(spark, paths, scratch_path(spark, "snapshot"))
+    st = Stager(spark, scratch_path(spark, "stages"))
+    erp_d = st.put("erp_dedup", ch.erp_dedup)
+    web_d = st.put("web_dedup", ch.web_dedup)
+    link_d = st.put("link_dedup", ch.link_dedup)
+    fused, _, _ = C.figures_stage(erp_d, web_d, link_d)
+    st.put("fusion", fused)
+    snap = files.copy_datasets(spark, st.paths, scratch_path(spark, "snapshot"))
     return spark.read.parquet(snap["fusion"])

@@ -6,7 +6,7 @@ batch run writes the stage.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,41 @@ from ledgerline.operators import clean, dedup, fuse, metrics
 from ledgerline.sources import tables as T
 
 
+@dataclass(frozen=True)
+class Rules:
+    """Column rules of the three sources. Defaults are the product-shop rules;
+    ``TEST_TABLE_RULES`` fits the test-table mapping."""
+
+    erp_required: tuple = ("product_id", "onsale_web", "price", "stock_quantity", "stock_status")
+    erp_positive: tuple = ("price",)
+    erp_max_columns: tuple = ("onsale_web", "price", "stock_quantity", "stock_status")
+    web_required: tuple = ("sku",)
+    link_required: tuple = ("product_id", "id_web")
+    # The post type kept as a product, and the sellable stock status.
+    product_post_type: str = "product"
+    instock_status: str = "instock"
+    link_ordering: str = "native"
+    web_tie_breakers: tuple = field(default_factory=tuple)
+
+    def keep_predicates(self):
+        return {
+            "erp": clean.required_predicate(self.erp_required, self.erp_positive),
+            "web": clean.required_predicate(self.web_required),
+            "liaison": clean.required_predicate(self.link_required),
+        }
+
+
+TEST_TABLE_RULES = Rules(
+    erp_required=tuple(T.ERP_REQUIRED),
+    erp_positive=tuple(T.ERP_POSITIVE),
+    erp_max_columns=tuple(T.ERP_MAX_COLUMNS),
+    web_required=tuple(T.WEB_REQUIRED),
+    link_required=tuple(T.LINK_REQUIRED),
+    product_post_type=T.PRODUCT_POST_TYPE,
+    instock_status=T.INSTOCK_STATUS,
+)
+
+
 @dataclass
 class Chain:
     erp_raw: DataFrame
@@ -32,37 +67,34 @@ class Chain:
 
     @property
     def keep_predicates(self):
-        return {
-            "erp": clean.required_predicate(T.ERP_REQUIRED, T.ERP_POSITIVE),
-            "web": clean.required_predicate(T.WEB_REQUIRED),
-            "liaison": clean.required_predicate(T.LINK_REQUIRED),
-        }
+        return TEST_TABLE_RULES.keep_predicates()
 
 
-def clean_stage(erp_raw: DataFrame, web_raw: DataFrame, link_raw: DataFrame):
+def clean_stage(erp_raw: DataFrame, web_raw: DataFrame, link_raw: DataFrame, rules: Rules = TEST_TABLE_RULES):
     return (
-        clean.clean_required(erp_raw, T.ERP_REQUIRED, T.ERP_POSITIVE),
-        clean.clean_required(web_raw, T.WEB_REQUIRED),
-        clean.clean_required(link_raw, T.LINK_REQUIRED),
+        clean.clean_required(erp_raw, rules.erp_required, rules.erp_positive),
+        clean.clean_required(web_raw, rules.web_required),
+        clean.clean_required(link_raw, rules.link_required),
     )
 
 
-def dedup_stage(erp_clean: DataFrame, web_clean: DataFrame, link_clean: DataFrame):
+def dedup_stage(erp_clean: DataFrame, web_clean: DataFrame, link_clean: DataFrame, rules: Rules = TEST_TABLE_RULES):
     return (
-        dedup.max_per_key(erp_clean, "product_id", T.ERP_MAX_COLUMNS),
+        dedup.max_per_key(erp_clean, "product_id", rules.erp_max_columns),
         dedup.latest_per_key(
             web_clean,
             "sku",
             "post_date",
-            where=F.col("post_type") == F.lit(T.PRODUCT_POST_TYPE),
+            tie_breakers=rules.web_tie_breakers,
+            where=F.col("post_type") == F.lit(rules.product_post_type),
         ),
-        dedup.min_link(link_clean, "product_id", "id_web"),
+        dedup.min_link(link_clean, "product_id", "id_web", rules.link_ordering),
     )
 
 
-def figures_stage(erp_dedup: DataFrame, web_dedup: DataFrame, link_dedup: DataFrame):
+def figures_stage(erp_dedup: DataFrame, web_dedup: DataFrame, link_dedup: DataFrame, rules: Rules = TEST_TABLE_RULES):
     fused = fuse.fuse(erp_dedup, link_dedup, web_dedup)
-    revenue = metrics.revenue_per_product(fused, instock_status=T.INSTOCK_STATUS)
+    revenue = metrics.revenue_per_product(fused, instock_status=rules.instock_status)
     total = metrics.revenue_total(revenue)
     return fused, revenue, total
 
