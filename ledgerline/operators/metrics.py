@@ -13,6 +13,16 @@ ORDINARY_LABEL = "ordinaire"
 Z_THRESHOLD = 2.0
 
 
+def sellable(quantity: str = "stock_quantity", status: str = "stock_status", instock_status: str = "instock"):
+    """Predicate of a sellable product: quantity > 0 and status = ``instock_status``."""
+    return (F.col(quantity) > F.lit(0)) & (F.col(status) == F.lit(instock_status))
+
+
+def revenue_amount(price: str = "price", quantity: str = "stock_quantity"):
+    """``round(price * quantity, 2)``, half away from zero on the binary product."""
+    return round_half_away(F.col(price) * F.col(quantity), 2)
+
+
 def revenue_per_product(
     fused: DataFrame,
     instock_status: str = "instock",
@@ -22,16 +32,19 @@ def revenue_per_product(
     quantity: str = "stock_quantity",
     status: str = "stock_status",
 ) -> DataFrame:
-    """Sellable products (quantity > 0 and status = ``instock_status``) with
-    ``chiffre_affaires = round(price * quantity, 2)`` (half away from zero on the
-    binary product). Map-only."""
-    sellable = fused.filter((F.col(quantity) > F.lit(0)) & (F.col(status) == F.lit(instock_status)))
-    return sellable.select(
-        key,
-        title,
-        price,
-        quantity,
-        round_half_away(F.col(price) * F.col(quantity), 2).alias("chiffre_affaires"),
+    """Sellable products with ``chiffre_affaires = round(price * quantity, 2)``. Map-only."""
+    return fused.filter(sellable(quantity, status, instock_status)).select(
+        key, title, price, quantity, revenue_amount(price, quantity).alias("chiffre_affaires")
+    )
+
+
+def fused_figures(fused: DataFrame, instock_status: str = "instock") -> DataFrame:
+    """One row, one pass over the fused table: fused rows, revenue rows, revenue total."""
+    ok = sellable(instock_status=instock_status)
+    return fused.agg(
+        F.count(F.lit(1)).alias("fused_rows"),
+        F.count_if(ok).alias("revenue_rows"),
+        exact_sum(F.when(ok, revenue_amount()), places=2).alias("revenue_total"),
     )
 
 

@@ -28,47 +28,47 @@ def clean_summary(sources: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame
 
 
 @dataclass(frozen=True)
-class Step:
-    """One report line: a label, a one-row DataFrame holding the figure in
-    column ``value``, and the expected figure as text ('' when none)."""
+class Figure:
+    """One report line: its number and label, the column of a one-row figures
+    DataFrame that holds the value, and the expected value as text ('' when none)."""
 
+    step_no: int
     label: str
-    value: DataFrame
+    column: str
     expected: str = ""
 
 
-def count_of(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).cast("double").alias("value"))
+def count_figures(df: DataFrame, column: str = "n") -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias(column))
 
 
-def value_of(df: DataFrame, col: str) -> DataFrame:
-    return df.select(F.col(col).cast("double").alias("value"))
-
-
-def stage_report(steps: Sequence[Step]) -> DataFrame:
+def stage_report(groups: Sequence[tuple[DataFrame, Sequence[Figure]]]) -> DataFrame:
     """Ordered report ``step_no, etape, resultat, attendu, passed``.
 
-    ``resultat`` is a double (counts and the amount share one column);
-    ``passed`` compares it with ``attendu`` at 2 decimals; a step with no
-    expected figure (``attendu = ''``) cannot fail. Each step is a one-row aggregate; identical sub-plans
-    (the same stage feeding several steps) are computed once through exchange reuse.
+    ``groups``: ``(one-row figures DataFrame, figures read from it)``. Each figures
+    DataFrame is computed once whatever the number of lines it feeds. ``resultat`` is a double (counts and the amount share one column);
+    ``passed`` compares it with ``attendu`` at 2 decimals; a line with no
+    expected figure (``attendu = ''``) cannot fail.
     """
     parts = []
-    for no, s in enumerate(steps, start=1):
-        v = F.col("value")
-        if s.expected == "":
-            passed = F.lit(True)
-        else:
-            passed = F.coalesce(
-                F.round(v, 2).cast("decimal(38,2)") == F.lit(s.expected).cast("decimal(38,2)"), F.lit(False)
-            )
-        parts.append(
-            s.value.select(
-                F.lit(no).alias("step_no"),
-                F.lit(s.label).alias("etape"),
-                v.alias("resultat"),
-                F.lit(s.expected).alias("attendu"),
-                passed.alias("passed"),
+    for df, figures in groups:
+        lines = []
+        for fig in figures:
+            v = F.col(fig.column).cast("double")
+            if fig.expected == "":
+                passed = F.lit(True)
+            else:
+                passed = F.coalesce(
+                    F.round(v, 2).cast("decimal(38,2)") == F.lit(fig.expected).cast("decimal(38,2)"), F.lit(False)
+                )
+            lines.append(
+                F.struct(
+                    F.lit(fig.step_no).alias("step_no"),
+                    F.lit(fig.label).alias("etape"),
+                    v.alias("resultat"),
+                    F.lit(fig.expected).alias("attendu"),
+                    passed.alias("passed"),
+                )
             )
-        )
+        parts.append(df.select(F.inline(F.array(*lines))))
     return reduce(lambda a, b: a.unionByName(b), parts)

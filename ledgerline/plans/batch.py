@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import metrics, quality, report
 from ledgerline.plans import chain as C
+from ledgerline.plans import reporting
 from ledgerline.sources import files
 from ledgerline.sources import tables as T
 from ledgerline.sources.schemas import SCHEMAS, normalize_keys
@@ -176,19 +177,14 @@ def run_batch(
     files.write_csv(summary, f"{pub}/resume_stats")
     res.published["resume_stats"] = f"{pub}/resume_stats"
 
-    steps = [
-        (erp_raw, None), (web_raw, None), (link_raw, None),
-        (erp_clean, "erp_clean"), (web_clean, None), (link_clean, None),
-        (erp_dedup, "erp_dedup"), (web_dedup, None), (link_dedup, None),
-        (fused, "fused"), (revenue, "revenue_rows"), (total, "revenue_total"), (outliers, "outliers"),
-    ]
-    from ledgerline.plans.catalog import REPORT_LABELS
-
-    report_steps = []
-    for label, (df, key) in zip(REPORT_LABELS, steps):
-        value = report.value_of(df, "ca_total") if df is total else report.count_of(df)
-        report_steps.append(report.Step(label, value, str(expected.get(key, "")) if key else ""))
-    rep = report.stage_report(report_steps)
+    rep = reporting.stage_report(
+        [(erp_raw, keep["erp"]), (web_raw, keep["web"]), (link_raw, keep["liaison"])],
+        [erp_dedup, web_dedup, link_dedup],
+        fused,
+        rules.instock_status,
+        outliers,
+        expected,
+    )
     files.write_csv(rep.orderBy("step_no"), f"{pub}/rapport_final")
     res.published["rapport_final"] = f"{pub}/rapport_final"
     res.report = spark.read.options(**files.CSV_OPTIONS).schema(

@@ -18,6 +18,7 @@ from ledgerline.functions.numeric import round_half_away
 from ledgerline.operators import clean, dedup, metrics, quality, report
 from ledgerline.operators.fuse import FUSION_ERP_COLUMNS, FUSION_WEB_COLUMNS
 from ledgerline.plans import chain as C
+from ledgerline.plans import reporting
 from ledgerline.plans.acceptance import expected_for
 from ledgerline.session import scratch_path
 from ledgerline.sources import files
@@ -469,40 +470,26 @@ def q_clean_summary(spark, d):
     )
 
 
-# The report's step labels, in report order.
-REPORT_LABELS = [
-    "Brut - ERP",
-    "Brut - Web",
-    "Brut - Liaison",
-    "Nettoyé - ERP",
-    "Nettoyé - Web",
-    "Nettoyé - Liaison",
-    "Dédoublonné - ERP",
-    "Dédoublonné - Web",
-    "Dédoublonné - Liaison",
-    "Fusion finale",
-    "Produits CA",
-    "CA Total (€)",
-    "Vins Millésimés",
-]
-# Which acceptance figure each step is checked against ('' -> none).
-REPORT_EXPECTED_KEYS = ["", "", "", "erp_clean", "", "", "erp_dedup", "", "", "fused", "revenue_rows", "revenue_total", "outliers"]
-
+def _stage_report(spark: SparkSession, d: str, exp: dict) -> DataFrame:
+    """The dedup stages are written once (they feed two figures each) and read back."""
+    from ledgerline.plans.batch import Stager
 
-def stage_steps(spark: SparkSession, d: str, exp: dict) -> list[report.Step]:
     ch = C.build_chain(spark, d)
+    st = Stager(spark, scratch_path(spark, "report-stages"))
+    erp_d = st.put("erp_dedup", ch.erp_dedup)
+    web_d = st.put("web_dedup", ch.web_dedup)
+    link_d = st.put("link_dedup", ch.link_dedup)
+    fused, _, _ = C.figures_stage(erp_d, web_d, link_d)
+    keep = ch.keep_predicates
     outliers = metrics.select_label(C.events_classified(spark, d), metrics.OUTLIER_LABEL)
-    values = [
-        report.count_of(ch.erp_raw), report.count_of(ch.web_raw), report.count_of(ch.link_raw),
-        report.count_of(ch.erp_clean), report.count_of(ch.web_clean), report.count_of(ch.link_clean),
-        report.count_of(ch.erp_dedup), report.count_of(ch.web_dedup), report.count_of(ch.link_dedup),
-        report.count_of(ch.fused), report.count_of(ch.revenue), report.value_of(ch.total, "ca_total"),
-        report.count_of(outliers),
-    ]
-    return [
-        report.Step(label, v, str(exp.get(k, "")) if k else "")
-        for label, v, k in zip(REPORT_LABELS, values, REPORT_EXPECTED_KEYS)
-    ]
+    return reporting.stage_report(
+        [(ch.erp_raw, keep["erp"]), (ch.web_raw, keep["web"]), (ch.link_raw, keep["liaison"])],
+        [erp_d, web_d, link_d],
+        fused,
+        C.TEST_TABLE_RULES.instock_status,
+        outliers,
+        exp,
+    )
 
 
 def _report_sql():
@@ -522,7 +509,9 @@ def _report_sql():
         f"(SELECT CAST(COUNT(*) AS DOUBLE) AS v FROM zscore WHERE type = '{metrics.OUTLIER_LABEL}')",
     ]
     parts = []
-    for no, (label, src, key) in enumerate(zip(REPORT_LABELS, sources, REPORT_EXPECTED_KEYS), start=1):
+    for no, (label, src, key) in enumerate(
+        zip(reporting.REPORT_LABELS, sources, reporting.REPORT_EXPECTED_KEYS), start=1
+    ):
         exp = str(_SF001.get(key, "")) if key else ""
         if exp == "":
             passed = "true"
@@ -536,7 +525,7 @@ def _report_sql():
 
 @register("stage_report", _report_sql())
 def q_stage_report(spark, d):
-    return report.stage_report(stage_steps(spark, d, expected_for(d)))
+    return _stage_report(spark, d, expected_for(d))
 
 
 # ---------------------------------------------------------------------------

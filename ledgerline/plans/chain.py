@@ -7,6 +7,7 @@ batch run writes the stage.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,24 +51,85 @@ TEST_TABLE_RULES = Rules(
 )
 
 
-@dataclass
 class Chain:
-    erp_raw: DataFrame
-    web_raw: DataFrame
-    link_raw: DataFrame
-    erp_clean: DataFrame
-    web_clean: DataFrame
-    link_clean: DataFrame
-    erp_dedup: DataFrame
-    web_dedup: DataFrame
-    link_dedup: DataFrame
-    fused: DataFrame
-    revenue: DataFrame
-    total: DataFrame
+    """The stages over the test tables, each built on first use.
+
+    A query touching one stage never analyses the others (building all of
+    them eagerly costs about a second of driver time per query).
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, rules: Rules = TEST_TABLE_RULES):
+        self.spark, self.sf_dir, self.rules = spark, sf_dir, rules
+
+    @cached_property
+    def erp_raw(self) -> DataFrame:
+        return T.erp_raw(self.spark, self.sf_dir)
+
+    @cached_property
+    def web_raw(self) -> DataFrame:
+        return T.web_raw(self.spark, self.sf_dir)
+
+    @cached_property
+    def link_raw(self) -> DataFrame:
+        return T.link_raw(self.spark, self.sf_dir)
+
+    @cached_property
+    def erp_clean(self) -> DataFrame:
+        return clean.clean_required(self.erp_raw, self.rules.erp_required, self.rules.erp_positive)
+
+    @cached_property
+    def web_clean(self) -> DataFrame:
+        return clean.clean_required(self.web_raw, self.rules.web_required)
+
+    @cached_property
+    def link_clean(self) -> DataFrame:
+        return clean.clean_required(self.link_raw, self.rules.link_required)
+
+    @cached_property
+    def erp_dedup(self) -> DataFrame:
+        return dedup_erp(self.erp_clean, self.rules)
+
+    @cached_property
+    def web_dedup(self) -> DataFrame:
+        return dedup_web(self.web_clean, self.rules)
+
+    @cached_property
+    def link_dedup(self) -> DataFrame:
+        return dedup_link(self.link_clean, self.rules)
+
+    @cached_property
+    def fused(self) -> DataFrame:
+        return fuse.fuse(self.erp_dedup, self.link_dedup, self.web_dedup)
+
+    @cached_property
+    def revenue(self) -> DataFrame:
+        return metrics.revenue_per_product(self.fused, instock_status=self.rules.instock_status)
+
+    @cached_property
+    def total(self) -> DataFrame:
+        return metrics.revenue_total(self.revenue)
 
     @property
     def keep_predicates(self):
-        return TEST_TABLE_RULES.keep_predicates()
+        return self.rules.keep_predicates()
+
+
+def dedup_erp(erp_clean: DataFrame, rules: Rules = TEST_TABLE_RULES) -> DataFrame:
+    return dedup.max_per_key(erp_clean, "product_id", rules.erp_max_columns)
+
+
+def dedup_web(web_clean: DataFrame, rules: Rules = TEST_TABLE_RULES) -> DataFrame:
+    return dedup.latest_per_key(
+        web_clean,
+        "sku",
+        "post_date",
+        tie_breakers=rules.web_tie_breakers,
+        where=F.col("post_type") == F.lit(rules.product_post_type),
+    )
+
+
+def dedup_link(link_clean: DataFrame, rules: Rules = TEST_TABLE_RULES) -> DataFrame:
+    return dedup.min_link(link_clean, "product_id", "id_web", rules.link_ordering)
 
 
 def clean_stage(erp_raw: DataFrame, web_raw: DataFrame, link_raw: DataFrame, rules: Rules = TEST_TABLE_RULES):
@@ -79,17 +141,7 @@ def clean_stage(erp_raw: DataFrame, web_raw: DataFrame, link_raw: DataFrame, rul
 
 
 def dedup_stage(erp_clean: DataFrame, web_clean: DataFrame, link_clean: DataFrame, rules: Rules = TEST_TABLE_RULES):
-    return (
-        dedup.max_per_key(erp_clean, "product_id", rules.erp_max_columns),
-        dedup.latest_per_key(
-            web_clean,
-            "sku",
-            "post_date",
-            tie_breakers=rules.web_tie_breakers,
-            where=F.col("post_type") == F.lit(rules.product_post_type),
-        ),
-        dedup.min_link(link_clean, "product_id", "id_web", rules.link_ordering),
-    )
+    return dedup_erp(erp_clean, rules), dedup_web(web_clean, rules), dedup_link(link_clean, rules)
 
 
 def figures_stage(erp_dedup: DataFrame, web_dedup: DataFrame, link_dedup: DataFrame, rules: Rules = TEST_TABLE_RULES):
@@ -99,19 +151,8 @@ def figures_stage(erp_dedup: DataFrame, web_dedup: DataFrame, link_dedup: DataFr
     return fused, revenue, total
 
 
-def build_chain(spark: SparkSession, sf_dir: str) -> Chain:
-    erp_raw = T.erp_raw(spark, sf_dir)
-    web_raw = T.web_raw(spark, sf_dir)
-    link_raw = T.link_raw(spark, sf_dir)
-    erp_clean, web_clean, link_clean = clean_stage(erp_raw, web_raw, link_raw)
-    erp_dedup, web_dedup, link_dedup = dedup_stage(erp_clean, web_clean, link_clean)
-    fused, revenue, total = figures_stage(erp_dedup, web_dedup, link_dedup)
-    return Chain(
-        erp_raw, web_raw, link_raw,
-        erp_clean, web_clean, link_clean,
-        erp_dedup, web_dedup, link_dedup,
-        fused, revenue, total,
-    )
+def build_chain(spark: SparkSession, sf_dir: str, rules: Rules = TEST_TABLE_RULES) -> Chain:
+    return Chain(spark, sf_dir, rules)
 
 
 def events_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
