@@ -6,7 +6,6 @@ Library code never sets cluster-wide knobs on a session it did not create; the
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,11 +70,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         try:
             spark.sparkContext.setCheckpointDir(configured)
-        except Exception:
+        except Exception:  # Spark Connect: the server owns the context
             pass
         return configured
     local = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+    except Exception:
+        spark.conf.set("spark.checkpoint.dir", local)
+        return local
     return _context_checkpoint_dir(spark) or local
 
 
@@ -83,12 +86,3 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/ledgerline-scratch/{label}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so a local path can be handed to Python code."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -70,3 +70,12 @@ def test_one_aggregate_per_table(spark):
     res = Q.evaluate(df, "t", [Q.non_empty(), Q.unique("k"), Q.not_null(["k"])])
     plan = res._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan") + plan.count("Range") <= 2  # one source scan (Range) for all rules
+
+
+def test_two_distinct_rules_do_not_expand(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 2)], "a long, b long")
+    res = Q.evaluate(df, "t", [Q.unique("a"), Q.non_empty(), Q.unique("b")])
+    got = [(r["subject"], r["actual"]) for r in res.collect()]
+    assert sorted(got) == [("*", 3.0), ("a", 1.0), ("b", 1.0)]
+    plan = res._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
