@@ -185,10 +185,9 @@ def run_batch(
         outliers,
         expected,
     )
+    rep = st.put("rapport_final", rep)
     files.write_csv(rep.orderBy("step_no"), f"{pub}/rapport_final")
     res.published["rapport_final"] = f"{pub}/rapport_final"
-    res.report = spark.read.options(**files.CSV_OPTIONS).schema(
-        "step_no int, etape string, resultat double, attendu string, passed boolean"
-    ).csv(f"{pub}/rapport_final")
+    res.report = rep
     res.stages = dict(st.paths)
     return res
