@@ -72,4 +72,4 @@ def stage_report(
         (ff, [_fig(9, "fused_rows", expected), _fig(10, "revenue_rows", expected), _fig(11, "revenue_total", expected)])
     )
     groups.append((report.count_figures(outliers), [_fig(12, "n", expected)]))
-    return report.stage_report(groups)
+    return report.stage_report(groups).orderBy("step_no")  # 13 rows
