@@ -52,3 +52,56 @@ def test_latest_per_key_hot_key_partial(spark):
     assert rows[0] == df.filter("k = 0").agg(F.max("t")).first()[0]
     written = _records_written(spark, out)
     assert 1001 <= written <= 6 * 1001
+
+
+def test_fusion_hot_link_target_is_split_by_aqe(spark):
+    from ledgerline.operators import fuse
+
+    n = 60000
+    erp = (
+        spark.range(n, numPartitions=8)
+        .select(
+            F.col("id").alias("product_id"),
+            F.lit(1).alias("onsale_web"),
+            (F.col("id") % 100 + 1).cast("double").alias("price"),
+            F.lit(2).cast("long").alias("stock_quantity"),
+            F.lit("instock").alias("stock_status"),
+        )
+    )
+    # a third of the products link to the same post
+    link = spark.range(n, numPartitions=8).select(
+        F.col("id").alias("product_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000 + 1).alias("id_web"),
+    )
+    web = spark.range(5001, numPartitions=4).select(
+        F.col("id").alias("sku"),
+        F.concat(F.lit("t"), F.col("id").cast("string")).alias("post_title"),
+        F.lit("e").alias("post_excerpt"),
+        F.lit("publish").alias("post_status"),
+        F.lit("product").alias("post_type"),
+        F.lit(4.0).alias("average_rating"),
+        F.lit(1.0).alias("total_sales"),
+    )
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = fuse.fuse(erp, link, web)
+        assert out.count() == n
+        jplan = out._jdf.queryExecution().executedPlan()
+        final = jplan.finalPhysicalPlan().toString()  # runs the adaptive plan to completion
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "skew=true" in final
