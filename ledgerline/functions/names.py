@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 import pandas as pd
@@ -26,6 +27,16 @@ def last_path_component(c: Column | str) -> Column:
     return F.regexp_extract(_col(c), r"([^/]+)/*$", 1)
 
 
+# Ship this module's functions to the Python workers by value, so executors need
+# only pandas/pyarrow, not this package on their path.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # older cloudpickle: workers import the package instead
+    pass
+
+
 @F.pandas_udf(StringType())
 def ascii_fold(s: pd.Series) -> pd.Series:
     """Compatibility decomposition (NFKD) with every non-ASCII code point dropped.

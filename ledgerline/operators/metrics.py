@@ -79,7 +79,9 @@ def zscore_classify(
     stats = rows.select(v.alias("__v"))
     mean = stats.select(F.avg("__v")).scalar()
     sd = stats.select(F.stddev_samp("__v")).scalar()
-    z = F.try_divide(v - mean, F.nullif(sd, F.lit(0.0)))
+    # NaN z (an infinite value makes the mean infinite and sd NaN) -> NULL, so it
+    # is never "> threshold" (NaN sorts above every number in Spark SQL).
+    z = nan_to_null(F.try_divide(v - mean, F.nullif(sd, F.lit(0.0))))
     out = rows.select(*[F.col(c) for c in keep], z.alias("z_score"))
     return out.withColumn(
         label_col,

@@ -81,10 +81,11 @@ ev AS (SELECT event_id, user_id, value FROM events WHERE value IS NOT NULL),
 ev_stats AS (
   SELECT AVG(CASE WHEN isnan(value) THEN NULL ELSE value END) AS m,
          STDDEV_SAMP(CASE WHEN isnan(value) THEN NULL ELSE value END) AS sd FROM ev),
-ev_z AS (
+ev_z0 AS (
   SELECT event_id, user_id, value,
-         (CASE WHEN isnan(value) THEN NULL ELSE value END - m) / NULLIF(sd, 0) AS z
+         (CASE WHEN isnan(value) THEN NULL ELSE value END - m) / NULLIF(sd, 0) AS z0
   FROM ev CROSS JOIN ev_stats),
+ev_z AS (SELECT event_id, user_id, value, CASE WHEN isnan(z0) THEN NULL ELSE z0 END AS z FROM ev_z0),
 zscore AS (
   SELECT event_id, user_id, value, ROUND(z, 6) AS z_score,
          CASE WHEN z > {metrics.Z_THRESHOLD} THEN '{metrics.OUTLIER_LABEL}' ELSE '{metrics.ORDINARY_LABEL}' END AS type

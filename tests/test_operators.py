@@ -119,3 +119,11 @@ def test_zscore_nan_is_skipped_and_ordinary(spark):
     assert rows[2]["z_score"] is None and rows[2]["type"] == metrics.ORDINARY_LABEL
     # statistics skip the NaN: mean 2, sd sqrt(2)
     assert rows[1]["z_score"] == pytest.approx(-1 / 2 ** 0.5)
+
+
+def test_zscore_infinite_value_is_not_an_outlier(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, float("inf")), (3, 3.0)], "id long, price double")
+    rows = metrics.zscore_classify(df, "price").collect()
+    # mean is inf and sd NaN: every z is undefined (NULL), every row ordinary
+    assert all(r["z_score"] is None for r in rows)
+    assert all(r["type"] == metrics.ORDINARY_LABEL for r in rows)
