@@ -159,6 +159,20 @@ def failures(results: DataFrame) -> list:
     return results.filter(F.col("passed") == F.lit(False)).collect()
 
 
+def assert_passed(results: DataFrame) -> DataFrame:
+    """In-plan form of the stop rule: a lazy DataFrame (one row per rule) whose
+    execution fails the job, with the rule named, as soon as a rule has failed.
+    Nothing is collected to the driver; the check runs where it is executed."""
+    msg = F.concat_ws(
+        "",
+        F.lit("data-quality rule failed: "),
+        F.col("table_name"), F.lit("."), F.col("rule"), F.lit("("), F.col("subject"), F.lit(") actual "),
+        F.coalesce(F.col("actual").cast("string"), F.lit("NULL")), F.lit(", expected "), F.col("expected"),
+    )
+    # As a filter predicate (always true when it returns), so pruning cannot drop it.
+    return results.filter(F.assert_true(F.col("passed"), msg).isNull())
+
+
 def raise_on_failure(results: DataFrame) -> None:
     bad = failures(results)
     if bad:

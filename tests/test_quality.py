@@ -79,3 +79,11 @@ def test_two_distinct_rules_do_not_expand(spark):
     assert sorted(got) == [("*", 3.0), ("a", 1.0), ("b", 1.0)]
     plan = res._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
+
+
+def test_assert_passed_in_plan(spark):
+    ok = Q.evaluate(spark.createDataFrame([(1,)], "k long"), "t", [Q.non_empty()])
+    assert Q.assert_passed(ok).count() == 1
+    bad = Q.evaluate(spark.createDataFrame([(1,), (1,)], "k long"), "t", [Q.unique("k")])
+    with pytest.raises(Exception, match="t.unique"):
+        Q.assert_passed(bad).collect()
