@@ -44,6 +44,20 @@ ONSALE_FLAG = "N"
 INSTOCK_STATUS = "O"
 PRODUCT_POST_TYPE = "BUILDING"
 
+# Schemas of the test tables the queries read, as stored (declared,
+# so no scan infers them; timestamps carry no time zone).
+TEST_TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "pages": "page_id bigint, url string, html string",
+}
+
 ERP_REQUIRED = ["product_id", "onsale_web", "price", "stock_quantity", "stock_status", "discount"]
 ERP_POSITIVE = ["price"]
 ERP_MAX_COLUMNS = ["onsale_web", "price", "stock_quantity", "stock_status"]
@@ -52,7 +66,10 @@ LINK_REQUIRED = ["product_id", "id_web"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TEST_TABLE_SCHEMAS.get(name)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path)
 
 
 def erp_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,3 +70,13 @@ def test_schemas_declared():
     assert [f.name for f in ERP_SCHEMA] == ["product_id", "onsale_web", "price", "stock_quantity", "stock_status"]
     assert [f.name for f in LINK_SCHEMA] == ["product_id", "id_web"]
     assert WEB_SCHEMA["sku"].dataType.simpleString() == "string"
+
+
+def test_declared_test_table_schemas_match_files(spark):
+    from ledgerline.sources import tables as T
+
+    for sf in ["/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"]:
+        for name in T.TEST_TABLE_SCHEMAS:
+            inferred = spark.read.parquet(f"{sf}/{name}.parquet").schema
+            declared = T.table(spark, sf, name).schema
+            assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], (sf, name)
