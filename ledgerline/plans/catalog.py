@@ -482,9 +482,9 @@ def _stage_report(spark: SparkSession, d: str, exp: dict) -> DataFrame:
 
     ch = C.build_chain(spark, d)
     st = Stager(spark, scratch_path(spark, "report-stages"))
-    erp_d = st.put("erp_dedup", ch.erp_dedup)
-    web_d = st.put("web_dedup", ch.web_dedup)
-    link_d = st.put("link_dedup", ch.link_dedup)
+    erp_d = st.put("erp_dedup", ch.erp_dedup, bucket_by="product_id")
+    web_d = st.put("web_dedup", ch.web_dedup, bucket_by="sku")
+    link_d = st.put("link_dedup", ch.link_dedup, bucket_by="product_id")
     fused, _, _ = C.figures_stage(erp_d, web_d, link_d)
     keep = ch.keep_predicates
     outliers = metrics.select_label(C.events_classified(spark, d), metrics.OUTLIER_LABEL)
@@ -588,9 +588,9 @@ def q_snapshot_roundtrip(spark, d):
 
     ch = C.build_chain(spark, d)
     st = Stager(spark, scratch_path(spark, "stages"))
-    erp_d = st.put("erp_dedup", ch.erp_dedup)
-    web_d = st.put("web_dedup", ch.web_dedup)
-    link_d = st.put("link_dedup", ch.link_dedup)
+    erp_d = st.put("erp_dedup", ch.erp_dedup, bucket_by="product_id")
+    web_d = st.put("web_dedup", ch.web_dedup, bucket_by="sku")
+    link_d = st.put("link_dedup", ch.link_dedup, bucket_by="product_id")
     fused, _, _ = C.figures_stage(erp_d, web_d, link_d)
     st.put("fusion", fused)
     snap = files.copy_datasets(spark, st.paths, scratch_path(spark, "snapshot"))

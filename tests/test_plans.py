@@ -68,3 +68,25 @@ def test_summary_scans_each_source_once(spark):
     df = E.queries()["clean_summary"](spark, SF_SMALL)
     plan = _plan(df)
     assert len(re.findall(r"^\(\d+\) Scan parquet", plan, flags=re.M)) == 3
+
+
+def test_bucketed_stages_colocate_the_fusion(spark):
+    from ledgerline.plans import chain as C
+    from ledgerline.plans.batch import Stager
+    from ledgerline.session import scratch_path
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ch = C.build_chain(spark, SF_SMALL)
+        st = Stager(spark, scratch_path(spark, "bucketed"))
+        e = st.put("erp_dedup", ch.erp_dedup, bucket_by="product_id")
+        w = st.put("web_dedup", ch.web_dedup, bucket_by="sku")
+        lk = st.put("link_dedup", ch.link_dedup, bucket_by="product_id")
+        fused, _, _ = C.figures_stage(e, w, lk)
+        plan = _plan(fused)
+        assert fused.count() == 334
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # both joins read bucketed sides; only the link target is re-shuffled
+    assert plan.count("Arguments: hashpartitioning") == 1
+    assert "SortMergeJoin" in plan
