@@ -70,12 +70,16 @@ class Stager:
         return self.spark.read.table(table)
 
 
-def land_csv_sources(spark: SparkSession, input_root: str) -> dict[str, DataFrame]:
-    """Raw CSV drops ``<input_root>/{erp,web,liaison}.csv`` with the declared schemas."""
+def land_csv_sources(spark: SparkSession, input_root: str, multiline: bool = True) -> dict[str, DataFrame]:
+    """Raw CSV drops ``<input_root>/{erp,web,liaison}.csv`` with the declared schemas.
+
+    ``multiline`` keeps quoted line breaks (free-text columns) but makes every
+    file one task; pass False for drops without them so large files split.
+    """
     root = input_root.rstrip("/")
     out = {}
     for name, schema in SCHEMAS.items():
-        raw = files.read_csv(spark, f"{root}/{name}.csv", schema)
+        raw = files.read_csv(spark, f"{root}/{name}.csv", schema, multiline=multiline)
         out[name] = normalize_keys(raw, name)
     return out
 

@@ -32,18 +32,19 @@ def land_new_files(
     keep: Column | None = None,
     max_files_per_trigger: int = 1000,
     wait: bool = True,
+    multiline: bool = True,
 ) -> StreamingQuery:
     """Append the CSV files under ``source_dir`` not yet landed to ``target_path``.
 
     ``source_name`` selects the key columns to normalise (``erp``, ``web``,
     ``liaison``); ``keep`` is an optional row filter (e.g. the required-column
     rule). The default checkpoint lives under the session's shared checkpoint
-    folder.
+    folder. ``multiline=False`` lets large files without quoted line breaks split.
     """
     ckpt = checkpoint_path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline-landing/{source_name}"
     stream = (
         spark.readStream.options(**CSV_OPTIONS)
-        .option("multiLine", "true")
+        .option("multiLine", "true" if multiline else "false")
         .option("maxFilesPerTrigger", str(max_files_per_trigger))
         .schema(schema)
         .csv(source_dir)
