@@ -97,6 +97,8 @@ def run_batch(
     rules: C.Rules = C.Rules(),
     zscore_source: tuple[DataFrame, str, list[str]] | None = None,
     raise_on_failure: bool = True,
+    land_sources: bool = True,
+    materialize_clean: bool = False,
 ) -> BatchResult:
     """Run every stage, check, then publish.
 
@@ -105,6 +107,12 @@ def run_batch(
     figures (keys as in ``ledgerline.plans.acceptance``). ``zscore_source``:
     ``(df, value_column, keep_columns)`` for the outlier split; defaults to the
     fused table's price.
+
+    ``land_sources``: write the raw sources once as Parquet (needed for CSV
+    drops: parse once; pass False for sources that are already Parquet).
+    ``materialize_clean``: also write the cleaned tables. Off by default: they
+    are map-only filters over durable files, so recomputing them is cheaper
+    than a second full copy; stages are written after their shuffles.
     """
     expected = expected or {}
     out = output_root.rstrip("/")
@@ -112,14 +120,18 @@ def run_batch(
     res = BatchResult()
 
     # Landing: the raw tables, typed, once (CSV is parsed a single time).
-    erp_raw = st.put("erp_raw", sources["erp"])
-    web_raw = st.put("web_raw", sources["web"])
-    link_raw = st.put("liaison_raw", sources["liaison"])
+    if land_sources:
+        erp_raw = st.put("erp_raw", sources["erp"])
+        web_raw = st.put("web_raw", sources["web"])
+        link_raw = st.put("liaison_raw", sources["liaison"])
+    else:
+        erp_raw, web_raw, link_raw = sources["erp"], sources["web"], sources["liaison"]
 
-    erp_c, web_c, link_c = C.clean_stage(erp_raw, web_raw, link_raw, rules)
-    erp_clean = st.put("erp_clean", erp_c)
-    web_clean = st.put("web_clean", web_c)
-    link_clean = st.put("liaison_clean", link_c)
+    erp_clean, web_clean, link_clean = C.clean_stage(erp_raw, web_raw, link_raw, rules)
+    if materialize_clean:
+        erp_clean = st.put("erp_clean", erp_clean)
+        web_clean = st.put("web_clean", web_clean)
+        link_clean = st.put("liaison_clean", link_clean)
 
     erp_d, web_d, link_d = C.dedup_stage(erp_clean, web_clean, link_clean, rules)
     # Bucketed on the join keys: the fusion joins read them co-located.
@@ -130,11 +142,12 @@ def run_batch(
     fused_df, _, _ = C.figures_stage(erp_dedup, web_dedup, link_dedup, rules)
     fused = st.put("fusion", fused_df)
 
-    # Frozen copy of everything up to the fusion, before any analytics.
-    res.snapshot = files.copy_datasets(
-        spark,
-        {k: st.paths[k] for k in ["erp_clean", "web_clean", "liaison_clean", "erp_dedup", "web_dedup",
-                                  "liaison_dedup", "fusion"]},
+    # Frozen copy of every table up to the fusion, before any analytics.
+    res.snapshot = files.snapshot_frames(
+        {
+            "erp_clean": erp_clean, "web_clean": web_clean, "liaison_clean": link_clean,
+            "erp_dedup": erp_dedup, "web_dedup": web_dedup, "liaison_dedup": link_dedup, "fusion": fused,
+        },
         f"{out}/snapshots/after_fusion",
     )
 

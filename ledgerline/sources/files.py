@@ -95,6 +95,21 @@ def copy_datasets(spark: SparkSession, sources: dict[str, str], target_root: str
     return out
 
 
+def snapshot_frames(frames: dict[str, DataFrame], target_root: str) -> dict[str, str]:
+    """Write each DataFrame to ``<target_root>/<name>`` as Parquet (overwrite).
+
+    Written stages are copied by a parallel read/write; unwritten ones are
+    computed and written once.
+    """
+    out = {}
+    target_root = target_root.rstrip("/")
+    for name, df in frames.items():
+        dst = f"{target_root}/{name}"
+        write_parquet(df, dst)
+        out[name] = dst
+    return out
+
+
 def expected_manifest(spark: SparkSession, names: Iterable[str]) -> DataFrame:
     """A one-column DataFrame of expected object names."""
     return spark.createDataFrame([(n,) for n in names], "name string")

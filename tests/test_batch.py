@@ -23,7 +23,10 @@ def test_batch_on_test_tables(spark):
         expected=expected_for(SF_SMALL),
         rules=TEST_TABLE_RULES,
         zscore_source=(ev, "value", ["event_id", "user_id", "value"]),
+        land_sources=False,
     )
+    assert "erp_raw" not in res.stages and "erp_clean" not in res.stages
+    assert spark.read.parquet(res.snapshot["erp_clean"]).count() == 5710
     checks = res.checks.collect()
     assert checks and all(r["passed"] for r in checks)
     rep = {r["step_no"]: r for r in res.report.collect()}
