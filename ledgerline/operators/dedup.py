@@ -38,18 +38,23 @@ def min_link(df: DataFrame, key: str, target: str, ordering: str = "native") ->
     return df.groupBy(key).agg(F.min_by(F.col(target), order_expr).alias(target))
 
 
+ALL_COLUMNS = "all"
+
+
 def latest_per_key(
     df: DataFrame,
     key: str,
     order_col: str,
-    tie_breakers: Sequence[str] = (),
+    tie_breakers: Sequence[str] | str = (),
     where: Column | None = None,
 ) -> DataFrame:
     """Newest row per key: ``ROW_NUMBER() OVER (PARTITION BY key ORDER BY order_col DESC) = 1``.
 
     Rows with a NULL order value lose (DESC NULLS LAST); ``tie_breakers`` (also
-    descending) make the winner deterministic when order values repeat. ``where``
-    is applied *before* the window, as the rule requires.
+    descending) make the winner deterministic when order values repeat;
+    ``"all"`` uses every other column in schema order, so the same input always
+    yields the same rows, and a task retried after a lost executor cannot pick a
+    different row. ``where`` is applied *before* the window, as the rule requires.
 
     Plan: the ``rn = 1`` filter becomes a WindowGroupLimit that keeps one row per
     key in each map partition before the shuffle, so a hot key sends at most one
@@ -57,6 +62,10 @@ def latest_per_key(
     """
     if where is not None:
         df = df.filter(where)
+    if isinstance(tie_breakers, str):
+        if tie_breakers != ALL_COLUMNS:
+            raise ValueError(f"unknown tie_breakers: {tie_breakers}")
+        tie_breakers = [c for c in df.columns if c not in (key, order_col)]
     order = [F.col(order_col).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in tie_breakers]
     w = Window.partitionBy(key).orderBy(*order)
     rn = "__rn"

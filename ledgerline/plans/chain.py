@@ -6,7 +6,7 @@ batch run writes the stage.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +30,8 @@ class Rules:
     product_post_type: str = "product"
     instock_status: str = "instock"
     link_ordering: str = "native"
-    web_tie_breakers: tuple = field(default_factory=tuple)
+    # Deterministic winner among posts with the same date: every other column decides.
+    web_tie_breakers: tuple | str = "all"
 
     def keep_predicates(self):
         return {

@@ -127,3 +127,14 @@ def test_zscore_infinite_value_is_not_an_outlier(spark):
     # mean is inf and sd NaN: every z is undefined (NULL), every row ordinary
     assert all(r["z_score"] is None for r in rows)
     assert all(r["type"] == metrics.ORDINARY_LABEL for r in rows)
+
+
+def test_latest_per_key_all_columns_tie_break_is_deterministic(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "x", 1.0), ("a", 1, "y", 0.5), ("a", 1, "y", 2.0), ("b", None, "z", 1.0)],
+        "sku string, t long, title string, r double",
+    )
+    for parts in (1, 3, 4):
+        out = dedup.latest_per_key(df.repartition(parts), "sku", "t", tie_breakers="all")
+        got = {r["sku"]: (r["title"], r["r"]) for r in out.collect()}
+        assert got == {"a": ("y", 2.0), "b": ("z", 1.0)}
