@@ -569,6 +569,19 @@ def q_safe_name(spark, d):
     return pages.select("page_id", "name", safe_name("name").alias("safe_name"))
 
 
+@register(
+    "safe_name_documents",
+    r"""SELECT doc_id,
+           regexp_replace(regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g'),
+                          '[^A-Za-z0-9_.-]', '_', 'g') AS safe_text
+       FROM documents""",
+)
+def q_safe_name_documents(spark, d):
+    """The name rule over whole document texts (accented prose in four languages)."""
+    docs = T.table(spark, d, "documents").select("doc_id", "text")
+    return docs.select("doc_id", safe_name("text").alias("safe_text"))
+
+
 SUPPLIER_SCHEMA = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
 
 

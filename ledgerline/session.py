@@ -23,6 +23,9 @@ SCALE_DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Whole document texts go through the one pandas UDF: bound a batch by rows
+    # so a batch of the longest texts (~120 KB each) stays a few hundred MB.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -56,6 +56,7 @@ TEST_TABLE_SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "pages": "page_id bigint, url string, html string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
 }
 
 ERP_REQUIRED = ["product_id", "onsale_web", "price", "stock_quantity", "stock_status", "discount"]
