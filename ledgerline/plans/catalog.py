@@ -245,6 +245,35 @@ def q_zscore_classify(spark, d):
     return _zscore(spark, d)
 
 
+@register(
+    "zscore_fusion",
+    CHAIN_SQL
+    + f"""
+, fz0 AS (SELECT product_id, post_title, price FROM fusion WHERE price IS NOT NULL),
+fz_stats AS (
+  SELECT AVG(CASE WHEN isnan(price) THEN NULL ELSE price END) AS m,
+         STDDEV_SAMP(CASE WHEN isnan(price) THEN NULL ELSE price END) AS sd FROM fz0),
+fz1 AS (
+  SELECT product_id, post_title, price,
+         (CASE WHEN isnan(price) THEN NULL ELSE price END - m) / NULLIF(sd, 0) AS z0
+  FROM fz0 CROSS JOIN fz_stats),
+fz AS (SELECT product_id, post_title, price, CASE WHEN isnan(z0) THEN NULL ELSE z0 END AS z FROM fz1)
+SELECT product_id, post_title, price, ROUND(z, 6) AS z_score,
+       CASE WHEN z > {metrics.Z_THRESHOLD} THEN '{metrics.OUTLIER_LABEL}' ELSE '{metrics.ORDINARY_LABEL}' END AS type
+FROM fz""",
+)
+def q_zscore_fusion(spark, d):
+    """The outlier rule on the fused table's price, as the source pipeline applies it.
+
+    The statistics subquery and the labelling projection both read the fused
+    table: it is written once, so the join chain runs once, not twice."""
+    from ledgerline.plans.batch import Stager
+
+    fused = Stager(spark, scratch_path(spark, "zscore-stages")).put("fusion", C.build_chain(spark, d).fused)
+    z = metrics.zscore_classify(fused, "price", keep=["product_id", "post_title", "price"])
+    return z.select("product_id", "post_title", "price", round_half_away("z_score", 6).alias("z_score"), "type")
+
+
 @register("zscore_counts", CHAIN_SQL + "SELECT type, COUNT(*) AS n FROM zscore GROUP BY type")
 def q_zscore_counts(spark, d):
     return metrics.label_counts(C.events_classified(spark, d))
