@@ -132,6 +132,8 @@ def evaluate(df: DataFrame, table_name: str, rules: Sequence[Rule]) -> DataFrame
     duplicate every row once per key (Expand) before the shuffle, so each extra
     distinct rule gets its own aggregate pass instead.
     """
+    if not rules:
+        raise ValueError(f"no rules to evaluate on {table_name}")
     indexed = list(enumerate(rules))
     distinct = [(i, r) for i, r in indexed if r.distinct]
     shared = [(i, r) for i, r in indexed if not r.distinct] + distinct[:1]
