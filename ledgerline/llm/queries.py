@@ -10,23 +10,70 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import near
+from ledgerline.llm import decontam, near, substr
 from ledgerline.llm.shared import tables
 
 
+def op2_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 13-word passages that a document with a smaller id has."""
+    left = substr.remove_repeats(tables(spark, sf_dir, "documents").select("doc_id", "text"), k=13)
+    return left.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words of every document."""
+    return decontam.digest(decontam.contamination(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "benchmark")))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return near.near_duplicates(tables(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_super_kmer_dedup": op2_super_kmer_dedup,
+    "op7_decontamination": op7_decontamination,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"'[^\x20\x09-\x0D]+'"
 
+ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_super_kmer_dedup": f"""
+WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {WORDS}) AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM split)),
+earliest AS (SELECT g, min(doc_id) AS m FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM win JOIN earliest USING (g), range(13) AS r(j) WHERE m < doc_id),
+word AS (SELECT doc_id, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS p FROM split),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(t, ' ' ORDER BY p) AS s
+  FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(s, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)""",
+    "op7_decontamination": f"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce({LOWER}, ''), {ALNUM}) AS w FROM documents),
+item AS (SELECT item_id, regexp_extract_all(coalesce({LOWER}, ''), {ALNUM}) AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
+size AS (SELECT DISTINCT n FROM win),
+place AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, size)),
+found AS (SELECT doc_id, item_id, i, n FROM place JOIN win USING (n, g)),
+hit AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM found, range(13) AS r(j) WHERE j < n GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)""",
     "op9_minhash_near_dedup": f"""
 WITH RECURSIVE split AS (
   SELECT doc_id, regexp_extract_all(coalesce({LOWER}, ''), {WORDS}) AS w FROM documents),

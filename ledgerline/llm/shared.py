@@ -21,7 +21,7 @@ def staged(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df``: file sizes for a scan, no job. It only places work, never decides results."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def bucket_count(df: DataFrame, bytes_each: int, least: int = 24) -> int:

@@ -53,6 +53,8 @@ def bounded(batches: Iterable[pa.RecordBatch], column: str, most: int = BLOCK_BY
 
 def word_block(texts: pa.Array, lower: bool = False) -> WordBlock:
     """Words of each text. ``lower`` maps A-Z to a-z and leaves every other character alone."""
+    if texts.offset:  # the case kernel reads a slice's offsets from its parent's start: copy the slice
+        texts = texts.take(pa.array(np.arange(len(texts))))
     texts = texts.cast(pa.large_string()).fill_null("")
     if lower:
         texts = pc.ascii_lower(texts)
