@@ -176,7 +176,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, tile:
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size")).select("cluster", F.expr(f"cast(ceil(size / {tile}) as int)").alias("tiles"))
     placed = clusters.join(sizes, "cluster").withColumn("tile", F.expr("cast(pmod(xxhash64(node), tiles) as int)"))
     both = F.expr("transform(sequence(0, tiles - 1), t -> named_struct('i', least(t, tile), 'j', greatest(t, tile)))")
-    texts = docs.join(placed.withColumnRenamed("node", "doc_id"), "doc_id")
+    # A shuffle join at every size: the members of clusters grow with the corpus.
+    texts = docs.join(placed.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id")
     tiled = texts.select("doc_id", "text", "cluster", "tile", F.explode(both).alias("at")).select("doc_id", "text", "tile", "cluster", "at.i", "at.j")
     links = staged(tiled.groupBy("cluster", "i", "j").applyInArrow(_links(shingle, percent), "u long, v long"), "near-links")
 

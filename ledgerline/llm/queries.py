@@ -10,10 +10,58 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontam, near, substr
+from ledgerline.llm import ann, decontam, html, langid, lm, mixing, near, quality, substr, warc
 from ledgerline.llm.shared import tables
 
 
+def _remainder(modulus: int) -> str:
+    return f"crc32(cast(doc_id as string)) % {modulus}"
+
+
+def op1_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under a backoff model of the rows that are not held out."""
+    return lm.score(tables(spark, sf_dir, "documents"), f"{_remainder(7)} = 2")
+
+
+def op3_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest other vectors of every vector whose id is divisible by 50."""
+    return ann.search(tables(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+def op4_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to deduplicated WARC archives and read back."""
+    return warc.roundtrip(tables(spark, sf_dir, "pages"))
+
+
+def op5_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn by flattened source weights for a budget of all tokens, no source more than twice."""
+    drawn = mixing.mix(tables(spark, sf_dir, "documents").select("doc_id", "text", "source"), repetitions=2.0)
+    return drawn.select("row.doc_id", "row.source", "n_tokens", "epoch", "block", F.round("weight", 9).alias("weight"))
+
+
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = tables(spark, sf_dir, "pages")
+    found = html.extract(pages.select("page_id", "url", "html"), html.train(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labelled rows that are not held out."""
+    docs, labels = tables(spark, sf_dir, "documents").select("doc_id", "text"), tables(spark, sf_dir, "labels")
+    held = F.expr(f"{_remainder(5)} = 0")
+    scored = quality.score(docs, quality.train(docs, labels.filter(~held)))
+    return scored.select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.expr(f"{_remainder(5)} = 0")
+    found = langid.identify(docs.drop("lang"), langid.train(docs.filter(~held)))
+    return found.select("doc_id", held.alias("held_out"), "language.lang_pred", "language.score")
+
+
 def op2_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the 13-word passages that a document with a smaller id has."""
     left = substr.remove_repeats(tables(spark, sf_dir, "documents").select("doc_id", "text"), k=13)
@@ -31,9 +79,16 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_katz_backoff": op1_katz_backoff,
     "op2_super_kmer_dedup": op2_super_kmer_dedup,
+    "op3_ann_search": op3_ann_search,
+    "op4_warc_revisit": op4_warc_revisit,
+    "op5_temperature_mixing": op5_temperature_mixing,
+    "op6_main_text": op6_main_text,
     "op7_decontamination": op7_decontamination,
+    "op8_quality": op8_quality,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_language": op10_language,
 }
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -42,6 +97,14 @@ WORDS = r"'[^\x20\x09-\x0D]+'"
 ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_warc_revisit": """
+WITH record AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+digest AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS d FROM record),
+last AS (SELECT d, max(page_id) AS m FROM digest WHERE n >= 1000 GROUP BY d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+  CASE WHEN m > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN m > page_id THEN m END AS refers_to
+FROM digest LEFT JOIN last USING (d)""",
     "op2_super_kmer_dedup": f"""
 WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {WORDS}) AS w FROM documents),
 win AS (

@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
 
 
 @dataclass
