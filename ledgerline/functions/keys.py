@@ -15,5 +15,5 @@ def normalize_key(c: Column | str) -> Column:
     """
     c = F.col(c) if isinstance(c, str) else c
     text = F.trim(c.cast("string"))
-    text = F.regexp_replace(text, r"^(-?\d+)\.0+$", "$1")
+    text = F.regexp_replace(text, r"^(\d+)\.0$", "$1")
     return F.when(text == F.lit(""), F.lit(None).cast("string")).otherwise(text)

@@ -61,6 +61,7 @@ def ascii_fold(s: pd.Series) -> pd.Series:
 
 def safe_name(c: Column | str) -> Column:
     """ASCII-fold, then replace every character outside ``[A-Za-z0-9_.-]`` by ``_``."""
-    return F.translate(
-        ascii_fold(_col(c)), _DISALLOWED_ASCII, SAFE_NAME_REPLACEMENT * len(_DISALLOWED_ASCII)
-    )
+    c = _col(c)
+    # Text of one-byte characters folds to itself: only the rest goes through Python (as NULL it costs nothing there).
+    folded = F.coalesce(ascii_fold(F.when(F.octet_length(c) != F.length(c), c)), c)
+    return F.translate(folded, _DISALLOWED_ASCII, SAFE_NAME_REPLACEMENT * len(_DISALLOWED_ASCII))

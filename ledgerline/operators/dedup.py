@@ -23,14 +23,20 @@ def min_link(df: DataFrame, key: str, target: str, ordering: str = "native") ->
     """One row per key with the smallest link target.
 
     ``ordering``: ``native`` (the column's own type), ``numeric`` (compare as
-    numbers: ``'99'`` < ``'100'``; non-numeric targets are NULL and ignored) or
-    ``text`` (lexicographic: ``'100'`` < ``'99'``). The output keeps the target
-    value as it was in the input.
+    numbers: ``'99'`` < ``'100'``; a non-numeric target loses to every number, so
+    a key keeps it only when it has nothing else) or ``text`` (lexicographic:
+    ``'100'`` < ``'99'``). Targets of equal rank (``'99'``, ``'099'``) are decided
+    as text. The output keeps the target value as it was in the input; it is
+    NULL only for a key whose targets are all NULL.
     """
     if ordering == "native":
         return df.groupBy(key).agg(F.min(F.col(target)).alias(target))
     if ordering == "numeric":
-        order_expr = F.col(target).cast("string").try_cast("decimal(38,10)")
+        number = F.col(target).cast("string").try_cast("decimal(38,10)")
+        order_expr = F.when(
+            F.col(target).isNotNull(),
+            F.struct(number.isNull().alias("text"), number.alias("number"), F.col(target).cast("string").alias("target")),
+        )
     elif ordering == "text":
         order_expr = F.col(target).cast("string")
     else:
@@ -38,6 +44,20 @@ def min_link(df: DataFrame, key: str, target: str, ordering: str = "native") ->
     return df.groupBy(key).agg(F.min_by(F.col(target), order_expr).alias(target))
 
 
+def link_ordering(link: DataFrame, target: str, other: DataFrame, other_key: str) -> str:
+    """The order that the two sides of a link call for: ``native`` when neither is text, ``numeric`` when every set key
+    of both is a number, else ``text``. One aggregate per side; two counts come back to the driver."""
+    sides = [(link, target), (other, other_key)]
+    if all(dict(df.dtypes)[c] != "string" for df, c in sides):
+        return "native"
+    for df, c in sides:
+        value = F.col(c).cast("string")
+        odd = df.agg(F.count_if(value.isNotNull() & value.try_cast("decimal(38,10)").isNull()).alias("n")).first()
+        if odd["n"]:
+            return "text"
+    return "numeric"
+
+
 ALL_COLUMNS = "all"
 
 

@@ -31,7 +31,7 @@ class Rule:
     subject: str
     actual: Callable[[], Column]
     expected: str
-    check: Callable[[Column], Column] | None  # None: reported only, cannot fail
+    check: Callable[[Column], Column] | None  # None: reported only, passed is NULL
     distinct: bool = False  # the aggregate is a COUNT(DISTINCT ...)
 
 
@@ -43,9 +43,19 @@ def non_empty() -> Rule:
     return Rule("non_empty", "*", lambda: F.count(F.lit(1)), "> 0", lambda a: a > F.lit(0))
 
 
-def not_null(cols: Sequence[str]) -> Rule:
+def not_null(cols: Sequence[str], where: Column | None = None) -> Rule:
+    """Rows with a NULL in any of ``cols``, among the rows that meet ``where``."""
     cols = list(cols)
-    return Rule("not_null", ",".join(cols), lambda: F.count_if(_any_null(cols)), "= 0", lambda a: a == F.lit(0))
+
+    def actual() -> Column:
+        return F.count_if(_any_null(cols) if where is None else where & _any_null(cols))
+
+    return Rule("not_null", ",".join(cols), actual, "= 0", lambda a: a == F.lit(0))
+
+
+def counted(name: str, column: str) -> Rule:
+    """A count that is already a column of a one-row table."""
+    return Rule(name, "*", lambda: F.max(F.col(column)), "> 0" if name == "non_empty" else "", (lambda a: a > F.lit(0)) if name == "non_empty" else None)
 
 
 def unique(key: str) -> Rule:
@@ -108,10 +118,14 @@ def no_infinite(cols: Sequence[str]) -> Rule:
 
 
 def _result_rows(one: DataFrame, table_name: str, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
+    return _rows(one, [(i, table_name, r) for i, r in rules])
+
+
+def _rows(one: DataFrame, rules: Sequence[tuple[int, str, Rule]]) -> DataFrame:
     rows = []
-    for i, r in rules:
+    for i, table_name, r in rules:
         a = F.col(f"__a{i}")
-        passed = r.check(a) if r.check is not None else F.lit(True)
+        passed = r.check(a) if r.check is not None else F.lit(None).cast("boolean")
         rows.append(
             F.struct(
                 F.lit(r.rule).alias("rule"),
@@ -145,6 +159,13 @@ def evaluate(df: DataFrame, table_name: str, rules: Sequence[Rule]) -> DataFrame
     return union_results(parts)
 
 
+def counts_table(df: DataFrame, rules: dict[str, Sequence[Rule]]) -> DataFrame:
+    """Rules of several (logical) tables that one pass over ``df`` can answer; keys are the table names to report."""
+    flat = [(table, r) for table, own in rules.items() for r in own]
+    one = df.agg(*[r.actual().alias(f"__a{i}") for i, (_, r) in enumerate(flat)])
+    return _rows(one, [(i, table, r) for i, (table, r) in enumerate(flat)])
+
+
 def columns_present(spark: SparkSession, df: DataFrame, table_name: str, names: Sequence[str]) -> DataFrame:
     """One row per required column: 1.0 when the schema has it. Reads metadata only."""
     have = set(df.columns)
@@ -152,6 +173,24 @@ def columns_present(spark: SparkSession, df: DataFrame, table_name: str, names:
     return spark.createDataFrame(data, RESULT_SCHEMA)
 
 
+def compare(results: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Fill in the expected figures of ``results`` from a second computation.
+
+    ``wanted``: ``rule, table_name, places, value`` (``places`` decimals count). A rule without a wanted figure keeps
+    ``passed`` as it is. Both sides have one row per rule.
+    """
+    w = wanted.select(F.col("rule").alias("w_rule"), F.col("table_name").alias("w_table"), "places", F.col("value").alias("w_value"))
+    both = results.join(w, (F.col("rule") == F.col("w_rule")) & (F.col("table_name") == F.col("w_table")), "left")
+    exact = F.when(F.col("places") == 0, F.col("w_value").cast("decimal(38,0)").cast("string")).otherwise(F.col("w_value").cast("decimal(38,2)").cast("string"))
+    known = F.col("w_rule").isNotNull()
+    same = F.coalesce(F.round("actual", 2).cast("decimal(38,2)") == F.col("w_value").cast("decimal(38,2)"), F.lit(False))
+    return both.select(
+        "rule", "table_name", "subject", "actual",
+        F.when(known, F.concat(F.lit("= "), exact)).otherwise(F.col("expected")).alias("expected"),
+        F.when(known, same).otherwise(F.col("passed")).alias("passed"),
+    )
+
+
 def union_results(results: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), results)
 

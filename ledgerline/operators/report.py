@@ -27,6 +27,19 @@ def clean_summary(sources: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame
     return out.withColumn("nb_exclues", F.col("nb_lignes_initiales") - F.col("nb_apres_nettoyage"))
 
 
+def stage_counts(raw: DataFrame, keep: Column, key: str, wanted: Column | None = None) -> DataFrame:
+    """One row ``raw, clean, dedup`` from one pass over a source: its rows, its kept rows, and the distinct keys among
+    the kept rows that meet ``wanted``. Keys are counted map-side before the shuffle."""
+    kept = F.coalesce(keep, F.lit(False))
+    chosen = kept if wanted is None else kept & F.coalesce(wanted, F.lit(False))
+    per_key = raw.groupBy(key).agg(F.count(F.lit(1)).alias("raw"), F.count_if(kept).alias("clean"), F.count_if(chosen).alias("chosen"))
+    return per_key.agg(
+        F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"),
+        F.coalesce(F.sum("clean"), F.lit(0)).alias("clean"),
+        F.count_if(F.col("chosen") > 0).alias("dedup"),
+    )
+
+
 @dataclass(frozen=True)
 class Figure:
     """One report line: its number and label, the column of a one-row figures
@@ -47,8 +60,8 @@ def stage_report(groups: Sequence[tuple[DataFrame, Sequence[Figure]]]) -> DataFr
 
     ``groups``: ``(one-row figures DataFrame, figures read from it)``. Each figures
     DataFrame is computed once whatever the number of lines it feeds. ``resultat`` is a double (counts and the amount share one column);
-    ``passed`` compares it with ``attendu`` at 2 decimals; a line with no
-    expected figure (``attendu = ''``) cannot fail.
+    ``passed`` compares it with ``attendu`` at 2 decimals; it is NULL on a line
+    with no expected figure (``attendu = ''``).
     """
     parts = []
     for df, figures in groups:
@@ -56,7 +69,7 @@ def stage_report(groups: Sequence[tuple[DataFrame, Sequence[Figure]]]) -> DataFr
         for fig in figures:
             v = F.col(fig.column).cast("double")
             if fig.expected == "":
-                passed = F.lit(True)
+                passed = F.lit(None).cast("boolean")
             else:
                 passed = F.coalesce(
                     F.round(v, 2).cast("decimal(38,2)") == F.lit(fig.expected).cast("decimal(38,2)"), F.lit(False)

@@ -29,7 +29,8 @@ class Rules:
     # The post type kept as a product, and the sellable stock status.
     product_post_type: str = "product"
     instock_status: str = "instock"
-    link_ordering: str = "native"
+    # auto: numeric when every set key of both sides is a number, else text (typed number columns: their own order).
+    link_ordering: str = "auto"
     # Deterministic winner among posts with the same date: every other column decides.
     web_tie_breakers: tuple | str = "all"
 
@@ -49,6 +50,7 @@ TEST_TABLE_RULES = Rules(
     link_required=tuple(T.LINK_REQUIRED),
     product_post_type=T.PRODUCT_POST_TYPE,
     instock_status=T.INSTOCK_STATUS,
+    link_ordering="native",
 )
 
 
@@ -59,20 +61,21 @@ class Chain:
     them eagerly costs about a second of driver time per query).
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, rules: Rules = TEST_TABLE_RULES):
-        self.spark, self.sf_dir, self.rules = spark, sf_dir, rules
+    def __init__(self, spark: SparkSession, sf_dir: str, rules: Rules = TEST_TABLE_RULES, dirty: bool = False):
+        """``dirty``: the roles with defects put in (see ``ledgerline.sources.tables``)."""
+        self.spark, self.sf_dir, self.rules, self.dirty = spark, sf_dir, rules, dirty
 
     @cached_property
     def erp_raw(self) -> DataFrame:
-        return T.erp_raw(self.spark, self.sf_dir)
+        return (T.erp_dirty if self.dirty else T.erp_raw)(self.spark, self.sf_dir)
 
     @cached_property
     def web_raw(self) -> DataFrame:
-        return T.web_raw(self.spark, self.sf_dir)
+        return (T.web_dirty if self.dirty else T.web_raw)(self.spark, self.sf_dir)
 
     @cached_property
     def link_raw(self) -> DataFrame:
-        return T.link_raw(self.spark, self.sf_dir)
+        return (T.link_dirty if self.dirty else T.link_raw)(self.spark, self.sf_dir)
 
     @cached_property
     def erp_clean(self) -> DataFrame:
@@ -96,7 +99,7 @@ class Chain:
 
     @cached_property
     def link_dedup(self) -> DataFrame:
-        return dedup_link(self.link_clean, self.rules)
+        return dedup_link(self.link_clean, self.rules, self.web_clean)
 
     @cached_property
     def fused(self) -> DataFrame:
@@ -129,8 +132,13 @@ def dedup_web(web_clean: DataFrame, rules: Rules = TEST_TABLE_RULES) -> DataFram
     )
 
 
-def dedup_link(link_clean: DataFrame, rules: Rules = TEST_TABLE_RULES) -> DataFrame:
-    return dedup.min_link(link_clean, "product_id", "id_web", rules.link_ordering)
+def dedup_link(link_clean: DataFrame, rules: Rules = TEST_TABLE_RULES, web_clean: DataFrame | None = None) -> DataFrame:
+    ordering = rules.link_ordering
+    if ordering == "auto":
+        if web_clean is None:
+            raise ValueError("link_ordering 'auto' is decided from both key columns: pass web_clean")
+        ordering = dedup.link_ordering(link_clean, "id_web", web_clean, "sku")
+    return dedup.min_link(link_clean, "product_id", "id_web", ordering)
 
 
 def clean_stage(erp_raw: DataFrame, web_raw: DataFrame, link_raw: DataFrame, rules: Rules = TEST_TABLE_RULES):
@@ -142,7 +150,7 @@ def clean_stage(erp_raw: DataFrame, web_raw: DataFrame, link_raw: DataFrame, rul
 
 
 def dedup_stage(erp_clean: DataFrame, web_clean: DataFrame, link_clean: DataFrame, rules: Rules = TEST_TABLE_RULES):
-    return dedup_erp(erp_clean, rules), dedup_web(web_clean, rules), dedup_link(link_clean, rules)
+    return dedup_erp(erp_clean, rules), dedup_web(web_clean, rules), dedup_link(link_clean, rules, web_clean)
 
 
 def figures_stage(erp_dedup: DataFrame, web_dedup: DataFrame, link_dedup: DataFrame, rules: Rules = TEST_TABLE_RULES):
@@ -152,11 +160,11 @@ def figures_stage(erp_dedup: DataFrame, web_dedup: DataFrame, link_dedup: DataFr
     return fused, revenue, total
 
 
-def build_chain(spark: SparkSession, sf_dir: str, rules: Rules = TEST_TABLE_RULES) -> Chain:
-    return Chain(spark, sf_dir, rules)
+def build_chain(spark: SparkSession, sf_dir: str, rules: Rules = TEST_TABLE_RULES, dirty: bool = False) -> Chain:
+    return Chain(spark, sf_dir, rules, dirty)
 
 
-def events_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """z-score outlier labels on ``events.value`` (the price role of the test data)."""
-    ev = T.table(spark, sf_dir, "events")
+def events_classified(spark: SparkSession, sf_dir: str, value: str = "value") -> DataFrame:
+    """z-score outlier labels on ``events.value`` (the price role of the test data), or on a SQL expression of it."""
+    ev = T.table(spark, sf_dir, "events").withColumn("value", F.expr(value))
     return metrics.zscore_classify(ev, "value", keep=["event_id", "user_id", "value"])

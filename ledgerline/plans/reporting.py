@@ -1,17 +1,15 @@
 """The 13-line stage report, assembled from as few passes as possible.
 
-* raw and cleaned counts of a source: one scan (``count(*)``, ``count_if(keep)``);
-* each dedup stage: one count;
+* raw, cleaned and deduplicated counts of a source: one scan, keys counted before the shuffle;
 * fused rows, revenue rows and revenue total: one pass over the fused table;
-* outliers: one count over the classified rows.
+* outliers: one count over the classified rows of the fused table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ledgerline.operators import metrics, report
 
@@ -51,22 +49,18 @@ def _fig(i: int, column: str, expected: dict) -> report.Figure:
 
 
 def stage_report(
-    raw_sources: Sequence[tuple[DataFrame, Column]],
-    dedups: Sequence[DataFrame],
+    sources: Sequence[DataFrame],
     fused: DataFrame,
     instock_status: str,
     outliers: DataFrame,
     expected: dict | None = None,
 ) -> DataFrame:
-    """``raw_sources``: ``(raw_df, keep_predicate)`` for erp, web, liaison;
-    ``dedups``: the three dedup stages in the same order."""
+    """``sources``: one row ``raw, clean, dedup`` each for erp, web, liaison (``report.stage_counts``); ``outliers`` are
+    those of the fused table. ``expected``: figures that the caller knows."""
     expected = expected or {}
     groups = []
-    for i, (raw, keep) in enumerate(raw_sources):
-        figs = raw.agg(F.count(F.lit(1)).alias("raw"), F.count_if(keep).alias("clean"))
-        groups.append((figs, [_fig(i, "raw", expected), _fig(3 + i, "clean", expected)]))
-    for i, dd in enumerate(dedups):
-        groups.append((report.count_figures(dd), [_fig(6 + i, "n", expected)]))
+    for i, counts in enumerate(sources):
+        groups.append((counts, [_fig(i, "raw", expected), _fig(3 + i, "clean", expected), _fig(6 + i, "dedup", expected)]))
     ff = metrics.fused_figures(fused, instock_status)
     groups.append(
         (ff, [_fig(9, "fused_rows", expected), _fig(10, "revenue_rows", expected), _fig(11, "revenue_total", expected)])

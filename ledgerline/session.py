@@ -60,11 +60,22 @@ def _context_checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether tasks run in the driver's own process (``local[...]``)."""
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # Spark Connect: a remote server
+        return False
+    return master.split("[")[0] == "local"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only when it is unset (local runs and
-    tests) is a private folder created and installed.
+    The setting is read from the session. Only a local master, whose tasks share
+    the driver's disk, falls back to a private folder when it is unset; on a
+    cluster an unset folder is an error, because executors would each write to
+    their own disk.
     """
     found = _context_checkpoint_dir(spark)
     if found:
@@ -76,16 +87,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # Spark Connect: the server owns the context
             pass
         return configured
+    if not is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-    try:
-        spark.sparkContext.setCheckpointDir(local)
-    except Exception:
-        spark.conf.set("spark.checkpoint.dir", local)
-        return local
+    spark.sparkContext.setCheckpointDir(local)
     return _context_checkpoint_dir(spark) or local
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the shared checkpoint root."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/ledgerline-scratch/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline-scratch"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folders (call when no result that reads them is needed any more)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

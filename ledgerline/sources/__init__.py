@@ -4,7 +4,6 @@ from ledgerline.sources.files import (
     copy_datasets,
     list_files,
     read_csv,
-    read_parquet,
     write_csv,
     write_parquet,
     write_split_by_label,
@@ -14,7 +13,6 @@ __all__ = [
     "copy_datasets",
     "list_files",
     "read_csv",
-    "read_parquet",
     "write_csv",
     "write_parquet",
     "write_split_by_label",

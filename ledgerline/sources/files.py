@@ -9,7 +9,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerline.functions.names import last_path_component
 
@@ -23,6 +23,35 @@ CSV_OPTIONS = {
 }
 
 
+# What the header CSV must keep as it is: outer blanks, and empty text apart from NULL.
+CSV_WRITE_OPTIONS = CSV_OPTIONS | {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a header CSV, in file order (reads the first line of one file; no content is parsed)."""
+    return spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path).columns
+
+
+def text_schema(names: Iterable[str]) -> StructType:
+    return StructType([StructField(n, StringType()) for n in names])
+
+
+def read_csv_text(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Header CSV with every column as text, by name, in the order of its header.
+
+    ``enforceSchema=false`` checks each file's header against it, so a file with another column order is an error
+    instead of swapped values.
+    """
+    return (
+        spark.read.options(**CSV_OPTIONS)
+        .option("multiLine", "true" if multiline else "false")
+        .option("enforceSchema", "false")
+        .option("mode", "FAILFAST")
+        .schema(text_schema(csv_header(spark, path)))
+        .csv(path)
+    )
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = True) -> DataFrame:
     """Header CSV with an explicit schema (no inference pass, no type drift).
 
@@ -40,11 +69,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, multiline
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV as a directory of part files, written in parallel (no coalesce(1))."""
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Iterable[str] = ()) -> None:

@@ -12,6 +12,11 @@ Parquet column pruning and filter pushdown reach the scan):
 The test tables hold no NULLs, so ``discount`` carries ``NULLIF(l_discount, 0)``
 as one more required column of the product master: the cleaning rule then has
 rows to drop.
+
+``erp_dirty``, ``web_dirty`` and ``link_dirty`` are the same roles with defects put
+in by expressions on the keys (NULL, zero and negative prices, outlier prices,
+NULL and repeated keys, ties and NULLs in the date), the same in Spark and in
+SQL, so that every cleaning and dedup rule meets rows it has to act on.
 """
 
 from __future__ import annotations
@@ -104,6 +109,60 @@ def web_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# One SQL expression per column with defects; both engines evaluate the same text.
+DIRTY_ERP = {
+    "price": "CASE WHEN l_partkey % 50 = 0 THEN 0.0 WHEN l_partkey % 50 = 1 THEN -l_extendedprice "
+    "WHEN l_partkey % 50 = 2 THEN NULL WHEN l_orderkey % 97 = 0 THEN l_extendedprice * 20 ELSE l_extendedprice END",
+}
+DIRTY_WEB = {
+    "sku": "CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey - c_custkey % 4 END",
+    "post_date": "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE floor(c_acctbal / 4000.0) END",
+}
+DIRTY_LINK = {"id_web": "CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE o_custkey - o_custkey % 4 END"}
+DIRTY_LINK_AGAIN = {"id_web": "CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_custkey - o_custkey % 4 - 4 END"}
+DIRTY_EVENT = {
+    "value": "CASE WHEN event_id % 40 = 0 THEN NULL WHEN event_id % 40 = 1 THEN CAST('NaN' AS DOUBLE) ELSE value END",
+}
+INFINITE_EVENT = {
+    "value": "CASE WHEN event_id % 50 = 0 THEN CAST('Infinity' AS DOUBLE) WHEN event_id % 50 = 1 THEN CAST('-Infinity' AS DOUBLE) "
+    "WHEN event_id % 50 = 2 THEN CAST('NaN' AS DOUBLE) WHEN event_id % 50 = 3 THEN NULL ELSE value END",
+}
+
+
+def erp_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("product_id"),
+        F.when(F.col("l_returnflag") == F.lit(ONSALE_FLAG), F.lit(1)).otherwise(F.lit(0)).alias("onsale_web"),
+        F.expr(DIRTY_ERP["price"]).alias("price"),
+        F.col("l_quantity").cast("bigint").alias("stock_quantity"),
+        F.col("l_linestatus").alias("stock_status"),
+        F.nullif(F.col("l_discount"), F.lit(0.0)).alias("discount"),
+    )
+
+
+def link_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order once, and every third once more with another target: keys repeat."""
+    o = table(spark, sf_dir, "orders")
+    one = o.select(F.col("o_orderkey").alias("product_id"), F.expr(DIRTY_LINK["id_web"]).alias("id_web"))
+    two = o.filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("product_id"), F.expr(DIRTY_LINK_AGAIN["id_web"]).alias("id_web"))
+    return one.unionByName(two)
+
+
+def web_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        F.expr(DIRTY_WEB["sku"]).alias("sku"),
+        F.col("c_mktsegment").alias("post_type"),
+        F.expr(DIRTY_WEB["post_date"]).cast("double").alias("post_date"),
+        F.col("c_name").alias("post_title"),
+        F.col("c_name").alias("post_excerpt"),
+        F.col("c_nationkey").cast("string").alias("post_status"),
+        F.col("c_acctbal").alias("average_rating"),
+        F.col("c_nationkey").cast("double").alias("total_sales"),
+    )
+
+
 # The same mapping as SQL text, for the DuckDB oracle (one definition per role).
 ERP_RAW_SQL = f"""
 SELECT l_orderkey AS product_id,
@@ -122,3 +181,14 @@ SELECT c_custkey AS sku, c_mktsegment AS post_type, c_acctbal AS post_date,
        CAST(c_nationkey AS VARCHAR) AS post_status,
        c_acctbal AS average_rating, CAST(c_nationkey AS DOUBLE) AS total_sales
 FROM customer"""
+
+ERP_DIRTY_SQL = ERP_RAW_SQL.replace("l_extendedprice AS price", DIRTY_ERP["price"] + " AS price")
+
+LINK_DIRTY_SQL = f"""
+SELECT o_orderkey AS product_id, {DIRTY_LINK["id_web"]} AS id_web FROM orders
+UNION ALL
+SELECT o_orderkey, {DIRTY_LINK_AGAIN["id_web"]} FROM orders WHERE o_orderkey % 3 = 0"""
+
+WEB_DIRTY_SQL = WEB_RAW_SQL.replace("c_custkey AS sku", DIRTY_WEB["sku"] + " AS sku").replace(
+    "c_acctbal AS post_date", f"CAST({DIRTY_WEB['post_date']} AS DOUBLE) AS post_date"
+)

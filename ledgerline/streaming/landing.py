@@ -3,8 +3,9 @@
 The source work is a scheduled batch over files dropped under an input prefix.
 As a file stream with ``Trigger.AvailableNow`` each scheduled run processes only
 the files not yet landed, in bounded micro-batches, then stops. The checkpoint
-(on shared storage) records which files were committed, so a rerun after a
-lost executor or driver neither skips nor duplicates a file.
+records which files were committed, so a rerun after a lost executor or driver
+neither skips nor duplicates a file. It belongs to the target, so it lies at a
+fixed path beside it: every run of every application finds the same one.
 
 Only the stateless part runs here (parse, type, normalise keys, optionally the
 row-cleaning filter); deduplication and everything after it run as the batch
@@ -15,17 +16,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
-from ledgerline.session import ensure_checkpoint_dir
-from ledgerline.sources.files import CSV_OPTIONS
-from ledgerline.sources.schemas import normalize_keys
+from ledgerline.sources.files import CSV_OPTIONS, csv_header, text_schema
+from ledgerline.sources.schemas import land
+
+
+def checkpoint_of(target_path: str) -> str:
+    """Where the landing into ``target_path`` keeps its progress."""
+    return f"{target_path.rstrip('/')}__landing_checkpoint"
 
 
 def land_new_files(
     spark: SparkSession,
     source_dir: str,
-    schema: StructType,
     target_path: str,
     source_name: str,
     checkpoint_path: str | None = None,
@@ -36,20 +39,24 @@ def land_new_files(
 ) -> StreamingQuery:
     """Append the CSV files under ``source_dir`` not yet landed to ``target_path``.
 
-    ``source_name`` selects the key columns to normalise (``erp``, ``web``,
-    ``liaison``); ``keep`` is an optional row filter (e.g. the required-column
-    rule). The default checkpoint lives under the session's shared checkpoint
-    folder. ``multiline=False`` lets large files without quoted line breaks split.
+    ``source_name`` (``erp``, ``web``, ``liaison``) selects the declared columns,
+    which are matched by the header's names (see ``schemas.land``); ``keep`` is an
+    optional row filter (e.g. the required-column rule). The checkpoint is
+    ``checkpoint_of(target_path)`` unless another is named; a target keeps one
+    checkpoint for good. ``multiline=False`` lets large files without quoted line
+    breaks split.
     """
-    ckpt = checkpoint_path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline-landing/{source_name}"
+    ckpt = checkpoint_path or checkpoint_of(target_path)
     stream = (
         spark.readStream.options(**CSV_OPTIONS)
         .option("multiLine", "true" if multiline else "false")
+        .option("enforceSchema", "false")
+        .option("mode", "FAILFAST")
         .option("maxFilesPerTrigger", str(max_files_per_trigger))
-        .schema(schema)
+        .schema(text_schema(csv_header(spark, source_dir)))
         .csv(source_dir)
     )
-    stream = normalize_keys(stream, source_name)
+    stream = land(stream, source_name)
     if keep is not None:
         stream = stream.filter(keep)
     query = (
