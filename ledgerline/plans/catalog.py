@@ -600,8 +600,9 @@ def _report_sql():
             value = f"(SELECT {column} FROM wanted)"
             expected = f"CAST(CAST({value} AS DECIMAL(38,{places})) AS VARCHAR)"
             passed = f"COALESCE(CAST(ROUND(v, 2) AS DECIMAL(38,2)) = CAST({value} AS DECIMAL(38,2)), false)"
+            passed = f"CAST({passed} AS VARCHAR)"
         else:
-            expected, passed = "''", "CAST(NULL AS BOOLEAN)"
+            expected, passed = "''", "CAST(NULL AS VARCHAR)"
         parts.append(f"SELECT {no} AS step_no, '{label}' AS etape, v AS resultat, {expected} AS attendu, {passed} AS passed FROM {src}")
     return DIRTY_SQL + _SECOND_SQL + _union_sql(parts)
 
@@ -609,6 +610,7 @@ def _report_sql():
 @register("stage_report", _report_sql())
 def q_stage_report(spark, d):
     """The report over the roles with defects; the figures of the fused table are expected from the second route.
+    ``passed`` is given as text here: 'true', 'false', or NULL on a line without an expected figure.
 
     Jobs at build time: the fused stage is written (two lines read it) and the expected figures, one row, are computed."""
     from ledgerline.plans.batch import Stager
@@ -619,7 +621,8 @@ def q_stage_report(spark, d):
     outliers = metrics.select_label(metrics.zscore_classify(fused, "price"), metrics.OUTLIER_LABEL)
     counts = _source_counts(ch)
     expected = {"fused": want["fused"], "revenue_rows": want["revenue_rows"], "revenue_total": want["revenue_total"]}
-    return reporting.stage_report([counts["erp"], counts["web"], counts["link"]], fused, ch.rules.instock_status, outliers, expected)
+    lines = reporting.stage_report([counts["erp"], counts["web"], counts["link"]], fused, ch.rules.instock_status, outliers, expected)
+    return lines.withColumn("passed", F.col("passed").cast("string"))
 
 
 # ---------------------------------------------------------------------------

@@ -14,6 +14,6 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from ledgerline.session import build_session
 
-    s = build_session(app_name="ledgerline-tests", master="local[*]", shuffle_partitions=8)
+    s = build_session(app_name="ledgerline-tests", master="local[4]", shuffle_partitions=8)
     yield s
     s.stop()

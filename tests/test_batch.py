@@ -6,7 +6,6 @@ import pytest
 
 from ledgerline.operators.quality import DataQualityError
 from ledgerline.plans import batch
-from ledgerline.plans.acceptance import expected_for
 from ledgerline.plans.chain import TEST_TABLE_RULES, Rules
 from ledgerline.session import scratch_path
 from ledgerline.sources import tables as T
@@ -20,7 +19,7 @@ def test_batch_on_test_tables(spark):
         spark,
         batch.test_table_sources(spark, SF_SMALL),
         out,
-        expected=expected_for(SF_SMALL),
+        expected={"fused": 334, "revenue_rows": 291, "outliers": 50},
         rules=TEST_TABLE_RULES,
         zscore_source=(ev, "value", ["event_id", "user_id", "value"]),
         land_sources=False,
@@ -28,7 +27,12 @@ def test_batch_on_test_tables(spark):
     assert "erp_raw" not in res.stages and "erp_clean" not in res.stages
     assert spark.read.parquet(res.snapshot["erp_clean"]).count() == 5710
     checks = res.checks.collect()
-    assert checks and all(r["passed"] for r in checks)
+    assert checks and all(r["passed"] is not False for r in checks)
+    assert {r["table_name"]: r["passed"] for r in checks if r["rule"] in ("row_count", "amount")} == {
+        "fusion": True, "ca_par_produit": True, "outliers": True, "ca_total": None}
+    for name, path in res.published.items():
+        assert spark.read.options(header=True).csv(path).count() > 0, name
+    assert {"erp_clean", "web_clean", "liaison_clean"} <= set(res.published)
     rep = {r["step_no"]: r for r in res.report.collect()}
     assert len(rep) == 13
     assert rep[10]["resultat"] == 334.0 and rep[10]["passed"]
@@ -47,6 +51,18 @@ def test_batch_stops_before_publishing_on_failed_rule(spark):
         )
     local = out[len("file:"):] if out.startswith("file:") else out
     assert not os.path.exists(os.path.join(local, "published"))
+    assert not os.path.exists(os.path.join(local, "stages", "ca_par_produit"))  # it stopped at the fusion
+
+
+def test_failed_cleaning_rule_leaves_no_dedup_stage(spark):
+    out = scratch_path(spark, "batch-clean-fail")
+    sources = batch.test_table_sources(spark, SF_SMALL)
+    sources["web"] = sources["web"].filter("sku is null")
+    with pytest.raises(DataQualityError, match="web_clean"):
+        batch.run_batch(spark, sources, out, rules=TEST_TABLE_RULES, land_sources=False)
+    local = out[len("file:"):] if out.startswith("file:") else out
+    assert os.path.exists(os.path.join(local, "checks", "clean"))
+    assert not os.path.exists(os.path.join(local, "stages", "erp_dedup"))
 
 
 CSV = {
@@ -63,13 +79,28 @@ CSV = {
 }
 
 
-def test_batch_on_csv_drops(spark):
+def _drop(spark, csv):
     root = scratch_path(spark, "csv-in")
     local = root[len("file:"):] if root.startswith("file:") else root
-    for name, text in CSV.items():
+    for name, text in csv.items():
         os.makedirs(os.path.join(local, f"{name}.csv"), exist_ok=True)
         with open(os.path.join(local, f"{name}.csv", "part.csv"), "w") as fh:
             fh.write(text)
+    return root
+
+
+def test_empty_rows_and_columns_go_at_landing(spark):
+    lines = CSV["erp"].splitlines()
+    csv = dict(CSV, erp="\n".join([lines[0] + ",note", *(line + "," for line in lines[1:]), ",,,,,"]) + "\n")
+    res = batch.run_batch(spark, batch.land_csv_sources(spark, _drop(spark, csv)), scratch_path(spark, "csv-out"), rules=Rules())
+    assert "note" not in spark.read.parquet(res.snapshot["erp_clean"]).columns
+    empty = dict(CSV, liaison="product_id,id_web\n,\n")
+    with pytest.raises(DataQualityError, match="liaison_raw.non_empty"):
+        batch.run_batch(spark, batch.land_csv_sources(spark, _drop(spark, empty)), scratch_path(spark, "csv-out"), rules=Rules())
+
+
+def test_batch_on_csv_drops(spark):
+    root = _drop(spark, CSV)
     sources = batch.land_csv_sources(spark, root)
     res = batch.run_batch(spark, sources, scratch_path(spark, "csv-out"), rules=Rules(link_ordering="text"))
     fused = {r["product_id"]: r for r in spark.read.parquet(res.stages["fusion"]).collect()}

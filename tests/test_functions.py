@@ -37,9 +37,9 @@ def test_nan_to_null(spark):
 
 
 def test_normalize_key(spark):
-    df = spark.createDataFrame([("15298",), ("15298.0",), (" abc-1 ",), ("",), (None,), ("7.50",)], "k string")
+    df = spark.createDataFrame([("15298",), ("15298.0",), (" abc-1 ",), ("",), (None,), ("7.50",), ("1.00",), ("-12.0",)], "k string")
     got = [r[0] for r in df.select(normalize_key("k")).collect()]
-    assert got == ["15298", "15298", "abc-1", None, None, "7.50"]
+    assert got == ["15298", "15298", "abc-1", None, None, "7.50", "1.00", "-12.0"]
 
 
 def test_last_path_component(spark):

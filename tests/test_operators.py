@@ -41,9 +41,25 @@ def test_max_per_key_mixes_rows(spark):
 def test_min_link_ordering(spark, ordering, expected):
     df = spark.createDataFrame([(1, "99"), (1, "100"), (2, "abc")], "product_id long, id_web string")
     got = {r[0]: r[1] for r in dedup.min_link(df, "product_id", "id_web", ordering).collect()}
-    assert got[1] == expected
-    if ordering != "numeric":
-        assert got[2] == "abc"
+    assert got == {1: expected, 2: "abc"}
+
+
+def test_min_link_numeric_ties_and_nulls(spark):
+    rows = [(1, "099"), (1, "99"), (1, None), (2, None), (3, "x"), (3, "bon-1"), (3, None), (4, "x"), (4, "7")]
+    for part in (rows, rows[::-1]):
+        df = spark.createDataFrame(part, "product_id long, id_web string").repartition(5)
+        got = {r[0]: r[1] for r in dedup.min_link(df, "product_id", "id_web", "numeric").collect()}
+        assert got == {1: "099", 2: None, 3: "bon-1", 4: "7"}
+
+
+def test_link_ordering_comes_from_both_sides(spark):
+    def order(targets, keys, kind="string"):
+        link = spark.createDataFrame([(1, t) for t in targets], f"product_id long, id_web {kind}")
+        return dedup.link_ordering(link, "id_web", spark.createDataFrame([(k,) for k in keys], f"sku {kind}"), "sku")
+
+    assert order(["99", None], ["100", "7"]) == "numeric"
+    assert order(["99"], ["100", "bon"]) == order(["x"], ["1"]) == "text"
+    assert order([1], [2], "long") == "native"
 
 
 def test_latest_per_key_ties_and_nulls(spark):

@@ -5,6 +5,7 @@ import io
 import re
 
 import __spark_entry__ as E
+from ledgerline.plans.chain import build_chain
 from tests.conftest import SF_SMALL
 
 
@@ -16,7 +17,7 @@ def _plan(df) -> str:
 
 
 def test_clean_filters_reach_the_scan(spark):
-    plan = _plan(E.queries()["clean_required"](spark, SF_SMALL))
+    plan = _plan(build_chain(spark, SF_SMALL).erp_clean)
     pushed = plan.split("PushedFilters: [")[1].split("]")[0]
     for f in ["IsNotNull(l_orderkey)", "IsNotNull(l_extendedprice)", "IsNotNull(l_linestatus)",
               "GreaterThan(l_extendedprice,0.0)"]:
@@ -67,7 +68,23 @@ def test_fusion_reuses_the_dedup_partitioning(spark):
 def test_summary_scans_each_source_once(spark):
     df = E.queries()["clean_summary"](spark, SF_SMALL)
     plan = _plan(df)
-    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, flags=re.M)) == 3
+    assert _scans(plan) == 4  # one per source; the link role with defects is two selections of orders
+
+
+def _scans(plan) -> int:
+    return len(re.findall(r"^\(\d+\) Scan parquet", plan, flags=re.M))
+
+
+def test_rules_scan_each_source_once(spark):
+    assert _scans(_plan(E.queries()["dq_non_empty"](spark, SF_SMALL))) == 3
+    plan = _plan(E.queries()["dq_not_null"](spark, SF_SMALL))
+    # three raw sources (the link role reads orders twice), and once more each for the fused table's rule
+    assert _scans(plan) <= 8
+
+
+def test_ascii_text_stays_out_of_python(spark):
+    plan = _plan(E.queries()["safe_name_documents"](spark, SF_SMALL))
+    assert "octet_length" in plan
 
 
 def test_bucketed_stages_colocate_the_fusion(spark):
@@ -79,14 +96,12 @@ def test_bucketed_stages_colocate_the_fusion(spark):
     try:
         ch = C.build_chain(spark, SF_SMALL)
         st = Stager(spark, scratch_path(spark, "bucketed"))
-        e = st.put("erp_dedup", ch.erp_dedup, bucket_by="product_id")
-        w = st.put("web_dedup", ch.web_dedup, bucket_by="sku")
-        lk = st.put("link_dedup", ch.link_dedup, bucket_by="product_id")
-        fused, _, _ = C.figures_stage(e, w, lk)
+        fused, _, _ = C.figures_stage(*st.put_dedups(ch.erp_dedup, ch.web_dedup, ch.link_dedup))
         plan = _plan(fused)
         assert fused.count() == 334
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # both joins read bucketed sides; only the link target is re-shuffled
-    assert plan.count("Arguments: hashpartitioning") == 1
+    # the first join reads bucketed sides; the second shuffles both of its sides, so hot targets can be split
+    assert plan.count("Arguments: hashpartitioning") == 2
+    assert not [r for r in spark.sql("SHOW TABLES").collect() if r["tableName"].startswith("ledgerline_")]
     assert "SortMergeJoin" in plan

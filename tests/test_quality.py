@@ -53,10 +53,18 @@ def test_empty_table_and_empty_amount(spark):
     assert got[("amount", "amount")]["passed"] is False
 
 
-def test_unexpected_row_count_cannot_fail(spark):
+def test_unexpected_row_count_is_neither_passed_nor_failed(spark):
     df = spark.createDataFrame([(1,)], "k long")
     r = Q.evaluate(df, "t", [Q.row_count(None)]).first()
-    assert r["actual"] == 1.0 and r["expected"] == "" and r["passed"] is True
+    assert r["actual"] == 1.0 and r["expected"] == "" and r["passed"] is None
+
+
+def test_compare_with_a_second_route(spark):
+    df = spark.createDataFrame([(1, 2.5), (2, 3.0)], "k long, amount double")
+    res = Q.union_results([Q.evaluate(df, "t", [Q.row_count(None), Q.amount_equals("amount", None), Q.non_empty()]), Q.evaluate(df, "u", [Q.row_count(None)])])
+    wanted = spark.createDataFrame([("row_count", "t", 0, 2.0), ("amount", "t", 2, 5.51)], "rule string, table_name string, places int, value double")
+    got = {(r["rule"], r["table_name"]): (r["expected"], r["passed"]) for r in Q.compare(res, wanted).collect()}
+    assert got == {("row_count", "t"): ("= 2", True), ("amount", "t"): ("= 5.51", False), ("non_empty", "t"): ("> 0", True), ("row_count", "u"): ("", None)}
 
 
 def test_columns_present(spark):

@@ -1,5 +1,6 @@
 """A key holding a third of all rows is combined map-side, never shipped whole."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import dedup
@@ -54,8 +55,11 @@ def test_latest_per_key_hot_key_partial(spark):
     assert 1001 <= written <= 6 * 1001
 
 
-def test_fusion_hot_link_target_is_split_by_aqe(spark):
+@pytest.mark.parametrize("staged", [False, True])
+def test_fusion_hot_link_target_is_split_by_aqe(spark, staged):
     from ledgerline.operators import fuse
+    from ledgerline.plans.batch import Stager
+    from ledgerline.session import scratch_path
 
     n = 60000
     erp = (
@@ -94,6 +98,8 @@ def test_fusion_hot_link_target_is_split_by_aqe(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
+        if staged:
+            erp, web, link = Stager(spark, scratch_path(spark, "skew"), buckets=8).put_dedups(erp, web, link)
         out = fuse.fuse(erp, link, web)
         assert out.count() == n
         jplan = out._jdf.queryExecution().executedPlan()

@@ -2,9 +2,11 @@
 
 import os
 
+import pytest
+
 from ledgerline.session import scratch_path
 from ledgerline.sources import files
-from ledgerline.sources.schemas import ERP_SCHEMA, LINK_SCHEMA, WEB_SCHEMA, normalize_keys
+from ledgerline.sources.schemas import ERP_SCHEMA, LINK_SCHEMA, WEB_SCHEMA, LandingError, land, normalize_keys, uncastable
 
 CSV_TEXT = (
     "sku,post_type,post_date,post_title,post_excerpt,post_status,average_rating,total_sales\n"
@@ -80,3 +82,55 @@ def test_declared_test_table_schemas_match_files(spark):
             inferred = spark.read.parquet(f"{sf}/{name}.parquet").schema
             declared = T.table(spark, sf, name).schema
             assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], (sf, name)
+
+
+def test_columns_are_matched_by_header_name(spark):
+    path = _write_text(spark, "csv-names", "note,id_web,product_id\nkeep me,15298.0,7.0\n,x,8\n")
+    rows = land(files.read_csv_text(spark, path), "liaison").collect()
+    assert [r.asDict() for r in rows] == [{"product_id": 7, "id_web": "15298", "note": "keep me"}, {"product_id": 8, "id_web": "x", "note": None}]
+
+
+def test_missing_required_column_is_an_error(spark):
+    path = _write_text(spark, "csv-missing", "product_id,other\n1,2\n")
+    with pytest.raises(LandingError, match="id_web"):
+        land(files.read_csv_text(spark, path), "liaison")
+
+
+def test_value_that_does_not_cast_fails_the_run(spark):
+    text = "product_id,onsale_web,price,stock_quantity,stock_status\n1,1,9.5,3.0,instock\n2,1,cheap,,instock\n"
+    raw = files.read_csv_text(spark, _write_text(spark, "csv-bad", text))
+    with pytest.raises(Exception, match="erp.price is not double: cheap"):
+        land(raw, "erp").collect()
+    assert uncastable(raw, "erp").first().asDict() == {"product_id": 0, "onsale_web": 0, "price": 1, "stock_quantity": 0}
+    assert [r["price"] for r in land(raw, "erp", strict=False).collect()] == [9.5, None]
+
+
+def test_other_column_order_in_a_later_file_is_an_error(spark):
+    path = _write_text(spark, "csv-order", "product_id,id_web\n1,2\n")
+    local = path[len("file:"):] if path.startswith("file:") else path
+    with open(os.path.join(local, "part2.csv"), "w") as fh:
+        fh.write("id_web,product_id\n2,1\n")
+    with pytest.raises(Exception):
+        land(files.read_csv_text(spark, path), "liaison").collect()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from ledgerline import session
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    cluster = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_path(cluster, "x")
+
+
+def test_clear_scratch(spark):
+    from ledgerline.session import clear_scratch
+
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    clear_scratch(spark)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    assert not os.path.exists(local)
+
