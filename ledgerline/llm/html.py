@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.shared import staged
 
 SAMPLE_PAGES = 300  # pages of the table that are learned from, at most
-SMOOTH = 0.5
+SMOOTH = 0.05
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
@@ -41,6 +41,7 @@ RAW = set("script style template noscript iframe textarea title svg math".split(
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark meter output picture progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul li dt dd".split())
+PARTS = set("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd td th tr table tbody thead blockquote pre figure figcaption".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
 
@@ -157,20 +158,22 @@ class Page:
         return [f"words:{min(words.bit_length(), 7)}", f"linked:{round(share * 3)}", f"ends:{text[-1] in '.!?…»”\"'}"]
 
 
+def _role(kind: str) -> str:
+    """Which potential joins a node to its parent: text runs, parts of a text, and boxes around them."""
+    return "text" if kind == "#text" else "part" if kind in PARTS else "box"
+
+
 def _labels(page: Page, content: Counter) -> list[int]:
-    """Labels of a page's nodes from the texts of its content runs: an element is content if most of its text is."""
-    weights, own = [0] * len(page.parent), [0] * len(page.parent)
+    """Labels of a page's nodes from the texts of its content runs: an element is content if it holds any of them."""
+    y = [0] * len(page.parent)
     left = Counter(content)
     for i in range(len(page.parent) - 1, 0, -1):
         text = page.text[i]
-        if text is not None:
-            weights[i] = len(text)
-            if left[text] > 0:
-                left[text] -= 1
-                own[i] = len(text)
-        weights[page.parent[i]] += weights[i]
-        own[page.parent[i]] += own[i]
-    return [int(2 * o > w) for o, w in zip(own, weights, strict=True)]
+        if text is not None and left[text] > 0:
+            left[text] -= 1
+            y[i] = 1
+        y[page.parent[i]] |= y[i]
+    return y
 
 
 class Model:
@@ -183,7 +186,7 @@ class Model:
         for page, content in labelled:
             y = _labels(page, content)
             for i in range(1, len(y)):
-                edges[page.kind[i] == "#text", y[page.parent[i]], y[i]] += 1
+                edges[_role(page.kind[i]), y[page.parent[i]], y[i]] += 1
                 totals[y[i]][page.kind[i] == "#text"] += 1
                 features[y[i]].update(page.features[i])
         self.log_odds: dict[str, float] = {}
@@ -191,14 +194,14 @@ class Model:
             leaf = f.startswith(("words:", "linked:", "ends:"))
             n0, n1 = totals[0][leaf] + 8 * SMOOTH, totals[1][leaf] + 8 * SMOOTH
             self.log_odds[f] = math.log((features[1][f] + SMOOTH) / n1) - math.log((features[0][f] + SMOOTH) / n0)
-        # edge[leaf][label of the parent][label of the node]
+        # edge[role][label of the parent][label of the node]
         self.edge = {}
-        for leaf in (False, True):
+        for role in ("text", "part", "box"):
             rows = []
             for p in (0, 1):
-                n = [edges[leaf, p, c] + SMOOTH for c in (0, 1)]
+                n = [edges[role, p, c] + SMOOTH for c in (0, 1)]
                 rows.append((n[0] / sum(n), n[1] / sum(n)))
-            self.edge[leaf] = rows
+            self.edge[role] = rows
 
     def marginals(self, page: Page) -> list[float]:
         """Probability that each node is content, by one upward and one downward pass of messages."""
@@ -206,12 +209,12 @@ class Model:
         belief = [sum(self.log_odds.get(f, 0.0) for f in fs) for fs in page.features]
         up = [0.0] * n
         for i in range(n - 1, 0, -1):
-            (a00, a01), (a10, a11) = self.edge[page.kind[i] == "#text"]
+            (a00, a01), (a10, a11) = self.edge[_role(page.kind[i])]
             e = math.exp(max(-40.0, min(40.0, belief[i])))
             up[i] = math.log((a10 + a11 * e) / (a00 + a01 * e))
             belief[page.parent[i]] += up[i]
         for i in range(1, n):
-            (a00, a01), (a10, a11) = self.edge[page.kind[i] == "#text"]
+            (a00, a01), (a10, a11) = self.edge[_role(page.kind[i])]
             e = math.exp(max(-40.0, min(40.0, belief[page.parent[i]] - up[i])))
             belief[i] += math.log((a01 + a11 * e) / (a00 + a10 * e))
         return [1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, b)))) for b in belief]
@@ -223,7 +226,7 @@ class Model:
         return "\n".join(t for t, p in zip(page.text, marginals, strict=True) if t is not None and p >= 0.5)
 
 
-def labelled_patterns(pages: int = 240, seed: int = 3) -> Iterator[tuple[Page, Counter]]:
+def labelled_patterns(pages: int = 600, seed: int = 3) -> Iterator[tuple[Page, Counter]]:
     """Hand-labelled page patterns: common ways to mark up an article and what stands around it."""
     r = random.Random(seed)
     syllables = "an be co du el fi ga ho in jo ka lu mi no or pa ri so ta ve".split()
@@ -240,7 +243,7 @@ def labelled_patterns(pages: int = 240, seed: int = 3) -> Iterator[tuple[Page, C
     around = {
         "top": ["<header{}>{t}</header>", "<nav{}>{u}</nav>", "<div class='{}'>{u}</div>|menu|nav|navbar|header|top-bar|breadcrumb", "<div id='{}'>{t}</div>|header|masthead|site-header|banner|skip"],
         "side": ["<aside{}>{t}{u}</aside>", "<div class='{}'><h3>{h}</h3>{u}<p>{t}</p></div>|sidebar|widget|related|recommended|popular|promo|social|share|author-box|toc|tags", "<div class='{}'>{t}</div>|ad|ads|advert|advertisement|sponsored|sponsor|banner|promo"],
-        "note": ["<div class='{}'><p>{t}</p></div>|cookie|cookie-notice|consent|notice|alert|popup|modal|newsletter|subscribe|paywall|hidden", "<form{}><p>{t}</p><label>{h}</label></form>", "<div role='{}'><p>{t}</p></div>|alert|dialog|banner|complementary|search|navigation"],
+        "note": ["<p class='{}'>{t}</p>|ad|advert|advertisement|sponsored|copyright|newsletter|subscribe|share|notice|promo", "<ul class='{}'><li>{t}</li><li>{h}</li></ul>|share|tags|related|social|menu|breadcrumb|pagination", "<div class='{}'><p>{t}</p></div>|cookie|cookie-notice|consent|notice|alert|popup|modal|newsletter|subscribe|paywall|hidden", "<form{}><p>{t}</p><label>{h}</label></form>", "<div role='{}'><p>{t}</p></div>|alert|dialog|banner|complementary|search|navigation"],
         "talk": ["<section class='{}'><h3>{h}</h3><div class='{}'><p>{t}</p></div><div class='{}'><p>{l}</p></div></section>|comments|comment|reply|replies|discussion|responses", "<div id='{}'><h2>{h}</h2><ul><li><p>{t}</p></li><li><p>{l}</p></li></ul></div>|comments|disqus|reader-comments|comment-list"],
         "end": ["<footer{}>{t}</footer>", "<div class='{}'>{t}{u}</div>|footer|site-footer|copyright|legal|pagination|pager|bottom"],
     }

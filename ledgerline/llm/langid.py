@@ -65,7 +65,7 @@ class Model:
 
     def __init__(self, trained: dict[str, dict[int, tuple[np.ndarray, np.ndarray]]]) -> None:
         self.langs = sorted(trained)
-        seen = sorted({int(g) for grams in trained.values() for g in grams[0][0]})
+        seen = sorted({*START, *(int(g) for grams in trained.values() for g in grams[0][0])})
         self.symbol = np.zeros(256, np.int32)  # 0: a byte that no language has
         self.symbol[seen] = np.arange(1, len(seen) + 1)
         a = self.size = len(seen) + 1

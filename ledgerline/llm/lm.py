@@ -182,7 +182,7 @@ def discounts(often: list[int]) -> np.ndarray:
     n = [0, *often]
     d = np.ones(K + 2)
     least = (K + 1) * n[K + 1] / n[1] if n[1] else 1.0
-    flat = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+    flat = n[1] / (n[1] + 2 * max(n[2], 1)) if n[1] else 0.5
     for r in range(1, K + 1):
         turing = ((r + 1) * n[r + 1] / (r * n[r]) - least) / (1 - least) if n[r] and least < 1 else 0.0
         d[r] = turing if 0 < turing < 1 else (r - flat) / r

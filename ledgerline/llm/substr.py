@@ -28,7 +28,7 @@ from ledgerline.llm.shared import bucket_count, plan_bytes, staged
 from ledgerline.llm.text import WordBlock, bounded, gram_hashes, inside, mix64, word_block
 
 M = 3
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 SAMPLE_BYTES = 16 << 20  # of the sample that looks for common minimisers
 HOT_MOST = 512  # common minimisers at most
 

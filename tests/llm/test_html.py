@@ -20,7 +20,7 @@ def brute_marginals(model, page):
             if y[i]:
                 p *= math.exp(sum(model.log_odds.get(f, 0.0) for f in page.features[i]))
             if i:
-                p *= model.edge[page.kind[i] == "#text"][y[page.parent[i]]][y[i]]
+                p *= model.edge[html._role(page.kind[i])][y[page.parent[i]]][y[i]]
         totals += p
         for i in range(n):
             ones[i] += p * y[i]
