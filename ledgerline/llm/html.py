@@ -251,7 +251,7 @@ def labelled_patterns(pages: int = 600, seed: int = 3) -> Iterator[tuple[Page, C
     def piece(where: str) -> str:
         pattern, *names = r.choice(around[where]).split("|")
         name = r.choice(names) if names else ""
-        filled = pattern.replace("{t}", sentence(r.randint(3, 24))).replace("{l}", sentence(r.randint(10, 60))).replace("{h}", words(r.randint(1, 4))).replace("{u}", links(r.randint(2, 8)))
+        filled = pattern.replace("{t}", sentence(r.randint(1, 40))).replace("{l}", sentence(r.randint(2, 90))).replace("{h}", words(r.randint(1, 4))).replace("{u}", links(r.randint(2, 8)))
         return filled.replace("{}", name)
 
     for _ in range(pages):
@@ -264,15 +264,15 @@ def labelled_patterns(pages: int = 600, seed: int = 3) -> Iterator[tuple[Page, C
 
         body = []
         if r.random() < 0.8:
-            body.append(paragraph("h1", r.randint(2, 10)))
+            body.append(paragraph("h1", r.randint(1, 10)))
         for _ in range(r.randint(1, 9)):
             x = r.random()
             if x < 0.72:
-                body.append(paragraph("p", r.choice((2, 5, 12, 30, 60, 120))))
+                body.append(paragraph("p", r.choice((1, 2, 5, 12, 30, 60, 120))))
             elif x < 0.82:
-                body.append(paragraph(r.choice(("h2", "h3")), r.randint(2, 7)))
+                body.append(paragraph(r.choice(("h2", "h3")), r.randint(1, 7)))
             elif x < 0.88:
-                body.append("<ul>" + "".join(paragraph("li", r.randint(2, 12)) for _ in range(r.randint(2, 4))) + "</ul>")
+                body.append("<ul>" + "".join(paragraph("li", r.randint(1, 12)) for _ in range(r.randint(2, 4))) + "</ul>")
             elif x < 0.92:
                 body.append("<blockquote>" + paragraph("p", r.randint(6, 30)) + "</blockquote>")
             elif x < 0.95:
