@@ -33,7 +33,7 @@ from ledgerline.llm.substr import pack_ints, unpack_ints
 from ledgerline.llm.text import bounded, hash_words, mix64, word_block
 
 K = 5  # counts up to K are discounted
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 10 << 20
 BEGIN, END = np.uint64(0x9D39247E33776D41), np.uint64(0x2AF7398005AAA5C7)
 LOW = np.uint64((1 << 48) - 1)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.llm.shared import staged
-from ledgerline.llm.text import WordBlock, word_block
+from ledgerline.llm.text import WordBlock, pieces, word_block
 
 SAMPLE_ROWS = 1500  # labelled texts of each label, at most
 WORD_TERMS, SHAPE_TERMS = 4096, 2048
@@ -107,8 +107,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 
 def score_texts(model: dict, texts: pa.Array) -> np.ndarray:
-    block = word_block(texts)
-    terms = Terms(block)
+    return np.concatenate([np.empty(0), *(_score_block(model, texts.slice(a, b - a)) for a, b in pieces(texts))])
+
+
+def _score_block(model: dict, texts: pa.Array) -> np.ndarray:
+    terms = Terms(word_block(texts))
     labels, weights = model["labels"] == 1, model["weights"]
     prior = float(weights[labels].sum() / weights.sum())
     k = min(NEIGHBOURS, len(labels))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.shared import bucket_count, plan_bytes, staged
-from ledgerline.llm.text import WordBlock, bounded, gram_hashes, inside, mix64, word_block
+from ledgerline.llm.text import WordBlock, bounded, gram_hashes, inside, mix64, pieces, word_block
 
 M = 3
 BUCKET_BYTES = 4 << 20
@@ -218,7 +218,7 @@ def _cut(k: int, column: str):
     """Kept words of each row, joined by one space."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(x, y - x) for b in batches for x, y in pieces(b.column("row").field(column))):
             texts = batch.column("row").field(column)
             n = batch.num_rows
             block = word_block(texts)

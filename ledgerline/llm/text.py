@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 4 << 20
 
 
 @dataclass
@@ -36,18 +36,20 @@ class WordBlock:
         return np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
 
 
+def pieces(texts: pa.Array, most: int = BLOCK_BYTES) -> list[tuple[int, int]]:
+    """Consecutive ranges of texts that hold about ``most`` bytes each; a longer text ends its range."""
+    if not len(texts):
+        return []
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.maximum(np.cumsum(sizes) - 1, 0) // most
+    cuts = (np.flatnonzero(np.diff(part)) + 1).tolist()
+    return list(zip([0, *cuts], [*cuts, len(texts)], strict=True))
+
+
 def bounded(batches: Iterable[pa.RecordBatch], column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the texts of each hold about ``most`` bytes at most; a longer text comes alone."""
+    """Cut batches by the sizes of their texts (see ``pieces``)."""
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        if batch.column(column).nbytes <= most:
-            yield batch
-            continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        part = (np.cumsum(sizes) - 1) // most
-        cuts = np.flatnonzero(np.diff(part)) + 1
-        for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+        for a, b in pieces(batch.column(column), most):
             yield batch.slice(a, b - a)
 
 
