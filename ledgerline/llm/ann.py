@@ -15,11 +15,11 @@ from __future__ import annotations
 
 import heapq
 import math
-import pickle
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -112,7 +112,7 @@ class Tree:
 
 def _fit(table: pa.Table) -> pa.Table:
     table = table.sort_by("vec_id")
-    return pa.table({"tree": pa.array([pickle.dumps(Tree(unit(matrix(table.column("embedding")))))], pa.binary())})
+    return pa.table({"tree": pa.array([cloudpickle.dumps(Tree(unit(matrix(table.column("embedding")))))], pa.binary())})
 
 
 def _best(query: np.ndarray, queries: np.ndarray, rows: np.ndarray, vectors: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,20 +168,21 @@ def search(embeddings: DataFrame, every: int = 50, k: int = 5, target: float = T
     total = entries.count()
     share = min(1.0, SAMPLE_ROWS / max(total, 1))
     few = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    tree: Tree = pickle.loads(entries.filter(few).select("vec_id", "embedding").limit(2 * SAMPLE_ROWS).groupBy(F.lit("all").alias("sample")).applyInArrow(_fit, "tree binary").first().tree) if total > LEAF_ROWS else Tree(np.zeros((1, widths[0]["width"])))
-    shared = spark.sparkContext.broadcast(tree)  # bounded by the sample
+    tree: Tree = cloudpickle.loads(entries.filter(few).select("vec_id", "embedding").limit(2 * SAMPLE_ROWS).groupBy(F.lit("all").alias("sample")).applyInArrow(_fit, "tree binary").first().tree) if total > LEAF_ROWS else Tree(np.zeros((1, widths[0]["width"])))
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(tree))  # bounded by the sample
 
     def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = cloudpickle.loads(shared.value)
         for b in batches:
             if b.num_rows:
-                yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("embedding"), b.column("ids"), pa.array(shared.value.place(unit(matrix(b.column("embedding")))))], names=["vec_id", "embedding", "ids", "leaf"])
+                yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("embedding"), b.column("ids"), pa.array(own.place(unit(matrix(b.column("embedding")))))], names=["vec_id", "embedding", "ids", "leaf"])
 
     placed = staged(entries.select("vec_id", "embedding", "ids").mapInArrow(put, "vec_id long, embedding array<double>, ids array<long>, leaf int"), "ann-leaves")
     held = {r.leaf: r["count"] for r in placed.groupBy("leaf").count().collect()}  # one row per leaf, bounded
     visits = _calibrate(placed, queries, tree, k, target)
 
     def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = cloudpickle.loads(shared.value)
         for b in batches:
             ids, leaves = [], []
             for i, q in enumerate(unit(matrix(b.column("embedding"))) if b.num_rows else []):

@@ -19,6 +19,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -326,11 +327,11 @@ def train(pages: DataFrame | None = None, sample_pages: int = SAMPLE_PAGES) -> M
 
 def extract(pages: DataFrame, model: Model, source: str = "html", name: str = "text") -> DataFrame:
     """``pages`` with the main text of each page; empty for a null or empty page and for one without content."""
-    shared = pages.sparkSession.sparkContext.broadcast(model)  # bounded: one number per feature of the sample
+    shared = pages.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))  # bounded: one number per feature of the sample
 
     @F.arrow_udf("string")
     def main_text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = shared.value
+        own = cloudpickle.loads(shared.value)
         for sources in batches:
             yield pa.array([own.extract(s.as_py()) for s in sources], pa.string())
 

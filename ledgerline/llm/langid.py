@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -153,11 +154,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     probability under equal priors. A text that is null or has no letter is ``und`` with score 0, as is every text if
     no language was learned.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: at most A^3 contexts of a sample of bounded rows
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))  # bounded: at most A^3 contexts of a sample of bounded rows
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = shared.value
+        own = cloudpickle.loads(shared.value)
         for texts in batches:
             if own.langs:
                 langs, scores = own.predict(texts)
