@@ -52,24 +52,24 @@ def summarise(plan: str) -> dict:
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from ledgerline.plans.catalog import QUERIES
     from ledgerline.session import build_session
 
-    spark = build_session(master="local[8]", shuffle_partitions=8)
+    spark = build_session(master="local[2]", shuffle_partitions=8)
     lines = [
-        "# Physical plans of the registered queries",
+        "# Physical plans of the registered queries of the reconciliation chain",
         "",
         f"Generated by `python tools/plan_report.py {sf_dir}` from `explain(\"formatted\")` (the plan before AQE",
         "re-planning; AQE may still turn a sort-merge join into a broadcast join, or coalesce or split partitions, from",
         "measured sizes). Scans list `table(columns read)` and the filters pushed into the Parquet reader.",
-        "Stage-writing queries (`snapshot_roundtrip`, `stage_report`, `csv_roundtrip`) show the plan of their last",
+        "Stage-writing queries (`snapshot_roundtrip`, `stage_report`, `csv_landing`, the other round trips) show the plan of their last",
         "read; their writes run as separate jobs.",
         "",
         "| query | scans (cols) · pushed filters | exchanges | joins | aggregates | other |",
         "|---|---|---|---|---|---|",
     ]
-    for name in sorted(E.queries()):
-        s = summarise(formatted(E.queries()[name](spark, sf_dir)))
+    for name in sorted(QUERIES):
+        s = summarise(formatted(QUERIES[name](spark, sf_dir)))
         scans = "<br>".join(f"{t}({n})" + (f" · `{pf}`" if pf else "") for t, n, pf in s["scans"])
         exch = "<br>".join(s["exchanges"]) or "none"
         other = []
