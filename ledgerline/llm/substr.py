@@ -120,7 +120,7 @@ def _super_kmers(k: int, buckets: int, hot: np.ndarray):
             out: dict[str, list] = {c: [] for c in ("bucket", "docs", "keys", "places", "lows", "texts", "known")}
 
             def put(bucket: int, i: np.ndarray, lows: np.ndarray, text: bytes, known: bool) -> None:
-                for c, v in zip(out, (bucket, pack_ints(docs[row[i]]), pack_ints(keys[row[i]].astype(np.int16)), pack_ints(place[i].astype(np.int32)), pack_ints(lows), text, known), strict=True):
+                for c, v in zip(out, (bucket, pack_ints(docs[row[i]]), pack_ints(keys[row[i]]), pack_ints(place[i].astype(np.int32)), pack_ints(lows), text, known), strict=True):
                     out[c].append(v)
 
             known = np.flatnonzero(repeats)
@@ -145,7 +145,7 @@ def _super_kmers(k: int, buckets: int, hot: np.ndarray):
 
 
 def _ranges(docs: np.ndarray, keys: np.ndarray, places: np.ndarray, windows: np.ndarray) -> pa.Table:
-    return pa.table({"doc_id": pa.array(docs, pa.int64()), "key": pa.array(keys.astype(np.int16)), "start": pa.array(places.astype(np.int32)), "windows": pa.array(windows.astype(np.int32))})
+    return pa.table({"doc_id": pa.array(docs, pa.int64()), "key": pa.array(keys, pa.int64()), "start": pa.array(places.astype(np.int32)), "windows": pa.array(windows.astype(np.int32))})
 
 
 def _repeats(k: int):
@@ -155,7 +155,7 @@ def _repeats(k: int):
         known, docs, keys, places, lows, texts = [], [], [], [], [], []
         for row in table.to_batches():
             for i in range(row.num_rows):
-                d, s, p, low = (unpack_ints(row.column(c)[i].as_py(), t) for c, t in (("docs", np.int64), ("keys", np.int16), ("places", np.int32), ("lows", np.uint32)))
+                d, s, p, low = (unpack_ints(row.column(c)[i].as_py(), t) for c, t in (("docs", np.int64), ("keys", np.int64), ("places", np.int32), ("lows", np.uint32)))
                 if row.column("known")[i].as_py():
                     known.append(_ranges(d, s, p, low))
                 else:
@@ -244,8 +244,8 @@ def _cut(k: int, column: str):
 
 
 def _key(text: Column) -> Column:
-    """Tells rows that repeat a doc_id apart."""
-    return F.pmod(F.xxhash64(text), F.lit(32749)).cast("smallint")
+    """Tells rows that repeat a doc_id apart: 64 bits, so that any number of texts under one doc_id stay apart."""
+    return F.xxhash64(text)
 
 
 def remove_repeats(docs: DataFrame, k: int = 13, text: str = "text") -> DataFrame:
@@ -262,7 +262,7 @@ def remove_repeats(docs: DataFrame, k: int = 13, text: str = "text") -> DataFram
     common = words.select("text").sample(fraction, seed=7).mapInArrow(_common(k), "low long, n long").groupBy("low").agg(F.sum("n").alias("n"))
     hot = np.array([r.low for r in common.orderBy(F.desc("n"), "low").limit(HOT_MOST).collect()], np.int64).view(np.uint64)
     packed = words.mapInArrow(_super_kmers(k, buckets, hot), PACKED)
-    found = staged(packed.groupBy("bucket").applyInArrow(_repeats(k), "doc_id long, key smallint, start int, windows int"), "substr-repeats")
+    found = staged(packed.groupBy("bucket").applyInArrow(_repeats(k), "doc_id long, key long, start int, windows int"), "substr-repeats")
     ranges = found.groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "windows")).alias("ranges"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     keyed = rows.withColumn("doc_id", F.col("row.doc_id").cast("long")).withColumn("key", _key(F.col(f"row.{text}")))

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -56,6 +57,19 @@ def _all_common(k):
     return run
 
 
+def test_texts_under_one_id_stay_apart(spark):
+    r = random.Random(5)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(0, " ".join(passage))]
+    for i in range(3000):
+        own = [f"t{i}x{j}" for j in range(r.randint(0, 30))]
+        at, a, n = r.randint(0, len(own)), r.randint(0, 20), r.choice((0, 12, 13, 20))
+        rows.append((7, " ".join([*own[:at], *passage[a : a + n], *own[at:]])))
+    rows += [(8 + i, f"only these words of document {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(docs, 13) == brute(rows, 13)
+
+
 def test_extra_columns_survive(docs):
     assert substr.remove_repeats(docs).select("row.*").columns == docs.columns
 
