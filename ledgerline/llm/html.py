@@ -297,8 +297,20 @@ def labelled_patterns(pages: int = 600, seed: int = 3) -> Iterator[tuple[Page, C
         yield Page(f"<html><body>{page}</body></html>"), Counter(content)
 
 
-def labelled_by_article(source: str) -> tuple[Page, Counter] | None:
-    """A page labelled by its only ``article`` element, less what names itself otherwise inside it."""
+#: Names (as features hold them, without a final s) that set their element apart from the text around it, whatever else it is named.
+APART = frozenset(f"name:{w}" for w in "ad advert advertisement sponsor sponsored promo banner comment reply replie discussion response disqu share social related recommended newsletter subscribe cookie consent notice alert popup modal paywall hidden copyright pagination breadcrumb sidebar widget".split())
+
+
+def _set_apart(names: list[str], patterns: Model) -> bool:
+    """Whether an element's names mark it as no content: one of ``APART``, or names that the patterns hold for none."""
+    return not APART.isdisjoint(names) or sum(patterns.log_odds.get(f, 0.0) for f in names) < 0
+
+
+def labelled_by_article(source: str, patterns: Model) -> tuple[Page, Counter] | None:
+    """A page labelled by its only ``article`` element, less what names itself otherwise inside it.
+
+    A name that ``patterns`` doesn't know is a wrapper like any other: what it holds is content.
+    """
     page = Page(source)
     if page.kind.count("article") != 1:
         return None
@@ -307,7 +319,7 @@ def labelled_by_article(source: str) -> tuple[Page, Counter] | None:
     outside = {"nav", "aside", "footer", "form", "header"}
     for i in range(1, len(within)):
         within[i] = page.kind[i] == "article" or within[page.parent[i]] and page.kind[i] not in outside
-        if within[i] and any(f.startswith("name:") for f in page.features[i]) and page.kind[i] != "article":
+        if within[i] and page.kind[i] != "article" and _set_apart([f for f in page.features[i] if f.startswith("name:")], patterns):
             within[i] = False
         if within[i] and page.text[i] is not None:
             content[page.text[i]] += 1
@@ -321,7 +333,8 @@ def train(pages: DataFrame | None = None, sample_pages: int = SAMPLE_PAGES) -> M
         named = pages.filter(F.contains(F.lower("html"), F.lit("<article"))).select("page_id").filter("page_id is not null")
         chosen = staged(named.distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages), "html-sample")
         rows = pages.select("page_id", "html").join(chosen, "page_id").select("html").limit(sample_pages).collect()
-        labelled += [x for x in map(labelled_by_article, sorted(r.html for r in rows)) if x]
+        patterns = Model(labelled)
+        labelled += [x for x in (labelled_by_article(source, patterns) for source in sorted(r.html for r in rows)) if x]
     return Model(labelled)
 
 

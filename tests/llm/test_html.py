@@ -56,6 +56,23 @@ def test_held_out_patterns():
     assert right / (right + wrong) > 0.93 and right / (right + missed) > 0.93
 
 
+@pytest.mark.parametrize("name", ["", "class='entry-content'", "class='txt-body'", "id='s1' class='chapter'", "class='content-box' role='region'"])
+def test_article_text_in_a_named_wrapper_is_content(spark, name):
+    r = random.Random(8)
+
+    def sentence(n):
+        return " ".join(r.choice(["alpha", "beta", "gamma", "delta", "river", "stone"]) for _ in range(n)).capitalize() + "."
+
+    pages, want = [], []
+    for i in range(320):
+        text = [sentence(r.choice((8, 30, 60, 120))) for _ in range(r.randint(5, 20))]
+        inner = "".join(f"<p>{p}</p>" for p in text[:-1]) + "<div class='post-share'><p>Share this with a friend.</p></div>" + f"<p>{text[-1]}</p>"
+        pages.append((i, f"<header><a href=/>Home</a></header><article><div {name}>{inner}</div><div class='ad'>Buy this now.</div></article><footer>Legal words.</footer>"))
+        want.append("\n".join(text))
+    model = html.train(spark.createDataFrame(pages[:300], "page_id long, html string"))
+    assert [model.extract(source) for _, source in pages[300:]] == want[300:]
+
+
 def test_odd_pages_do_not_crash():
     r = random.Random(1)
     odd = ["", " ", "<", "<>", "</", "</p>", "<p", "<p class='", "<!--", "<![CDATA[x", "&am", "&#x110000;", "<a" * 500, "<div>" * 3000 + "deep", "<p>" * 2000, "<script>x", "<title>x", "<head>x", "x" * 200_000, "<table><tr><td>a<td>b<tr><td>c</table>"]
