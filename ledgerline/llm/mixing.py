@@ -107,7 +107,8 @@ def mix(docs: DataFrame, budget: int | None = None, repetitions: float | None =
         budget = int(sources.agg(F.sum("tokens")).first()[0] or 0)
     quota = staged(quotas(sources, temperature(sources, budget, repetitions, entropy), budget), "mix-quotas")
 
-    drawn = rows.join(quota.select(F.col("source").alias("of"), "weight", "epochs", "rest"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    # a source without a quota is not drawn (sequence(1, 0) would count down)
+    drawn = rows.join(quota.filter("quota > 0").select(F.col("source").alias("of"), "weight", "epochs", "rest"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     epoch = F.expr("sequence(1, cast(epochs as int) + if(rest > 0, 1, 0))")
     drawn = drawn.withColumn("epoch", F.explode(epoch)).withColumn("place", F.xxhash64(F.lit(seed), "epoch", "row.doc_id", F.col(f"row.{text}")))
     drawn = drawn.withColumn("block", F.pmod("place", F.lit(BLOCKS)).cast("int")).withColumn("last", F.expr("epoch > epochs"))

@@ -75,5 +75,16 @@ def test_many_small_documents(spark):
     assert abs(3 * (len(hot) + len(small)) - 12_000) <= 6
 
 
+def test_sources_without_a_quota_are_not_drawn(spark):
+    docs = spark.range(400).selectExpr("id as doc_id", "'a b c' as text", "if(id % 100 = 0, 'small', 'hot') as source")
+    for budget, target in ((10, {"repetitions": None, "entropy": 0.0}), (1, {"repetitions": 2.0}), (0, {"repetitions": 2.0})):
+        quota = {r.source: r.quota for r in mixing.quotas(mixing.source_tokens(docs), mixing.temperature(mixing.source_tokens(docs), budget, **target), budget).collect()}
+        drawn = mixing.mix(docs, budget=budget, **target).collect()
+        assert 0 in quota.values() and all(r.epoch >= 1 for r in drawn)
+        for source, most in quota.items():
+            assert sum(r.n_tokens for r in drawn if r.row.source == source) <= most
+        assert len(drawn) == (3 if budget == 10 else 0)
+
+
 def test_empty_table(no_docs):
     assert mixing.mix(no_docs).collect() == []
