@@ -16,12 +16,13 @@ Work per step, none of it quadratic in a group of copies:
    of the confirmed links, never the pairs.
 5. Components of the confirmed links, joined back to the rows by fingerprint.
 
-With 16 bands of 4 coordinates a pair of similarity 0.85 is missed by all bands with probability 7e-6, and clusters
-join most of those again.
+Bands follow from the threshold: a pair at it is missed by all bands with probability ``MISS`` at most, and clusters join
+most of those again. At 0.85 these are 16 bands of 4 coordinates (7e-6), at 0.8, as in the pipeline, 22 (9.3e-6).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,11 +33,25 @@ from pyspark.sql import functions as F
 from ledgerline.llm.shared import connected_components, staged
 from ledgerline.llm.text import WordBlock, bounded, gram_hashes, inside, mix64, word_block
 
-BANDS, ROWS = 16, 4
+MISS = 1e-5  # chance at most that a pair at the threshold shares no band
+ROWS = 4  # coordinates of a band at most
+COORDINATES = 300  # of a signature; bands of fewer coordinates, if it takes more
 TILE = 384
 SIGMA = np.uint64(0x5851F42D4C957F2D)
 
 
+def banding(percent: float) -> tuple[int, int]:
+    """Bands and coordinates of each, so that a pair of similarity ``percent`` / 100 is missed with probability ``MISS`` at most."""
+    if percent <= 0:
+        raise ValueError("percent must be above 0: texts without a common shingle share no band")
+    share = min(percent / 100, 1.0)
+    for rows in range(ROWS, 0, -1):
+        one = share**rows  # chance that a band agrees
+        bands = 1 if one == 1 else math.ceil(math.log(MISS) / math.log1p(-one))
+        if rows == 1 or bands * rows <= COORDINATES:
+            return bands, rows
+
+
 def shingle_sets(block: WordBlock, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, sorted within it, and where each text's set begins.
 
@@ -69,7 +84,7 @@ def _pi(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def circulant_signatures(grams: np.ndarray, starts: np.ndarray, coordinates: int = BANDS * ROWS) -> np.ndarray:
+def circulant_signatures(grams: np.ndarray, starts: np.ndarray, coordinates: int) -> np.ndarray:
     """Signatures (one row per non-empty set): coordinate k is the minimum of pi(sigma(x) - k) over the set."""
     begins = starts[:-1][np.diff(starts) > 0]
     out = np.empty((len(begins), coordinates), np.uint32)
@@ -81,7 +96,7 @@ def circulant_signatures(grams: np.ndarray, starts: np.ndarray, coordinates: int
     return out
 
 
-def _describe(n: int):
+def _describe(n: int, count: int, width: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,18 +105,18 @@ def _describe(n: int):
             sizes = np.diff(starts)
             full = np.flatnonzero(sizes)
             fps = np.zeros((len(sizes), 2), np.uint64)
-            bands = np.zeros((len(full), BANDS), np.uint64)
+            bands = np.zeros((len(full), count), np.uint64)
             if len(full):
-                signatures = circulant_signatures(grams, starts).astype(np.uint64)
+                signatures = circulant_signatures(grams, starts, count * width).astype(np.uint64)
                 for lane, salt in enumerate((0x243F6A8885A308D3, 0x13198A2E03707344)):
                     fps[full, lane] = np.add.reduceat(mix64(grams + np.uint64(salt)), starts[:-1][full])
-                for b in range(BANDS):
+                for b in range(count):
                     h = np.full(len(full), b + 1, np.uint64)
-                    for k in range(b * ROWS, (b + 1) * ROWS):
+                    for k in range(b * width, (b + 1) * width):
                         h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + signatures[:, k])
                     bands[:, b] = h
             ends = np.zeros(len(sizes) + 1, np.int32)
-            ends[1:] = np.cumsum(np.where(sizes > 0, BANDS, 0))
+            ends[1:] = np.cumsum(np.where(sizes > 0, count, 0))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array([x.tobytes() for x in fps], pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(bands.reshape(-1).view(np.int64)))],
                 schema=schema,
@@ -164,7 +179,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, tile:
     nothing and is kept. Rows that repeat a doc_id are texts of one document and share its component.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    described = staged(docs.mapInArrow(_describe(shingle), "doc_id long, n_shingles long, fp binary, bands array<long>"), "near-sets")
+    described = staged(docs.mapInArrow(_describe(shingle, *banding(percent)), "doc_id long, n_shingles long, fp binary, bands array<long>"), "near-sets")
     real = described.filter("n_shingles > 0 and doc_id is not null")
     classes = staged(real.groupBy("fp", "bands").agg(F.min("doc_id").alias("node")), "near-classes")
     banded = classes.select("node", F.posexplode("bands").alias("band", "hash"))

@@ -45,6 +45,23 @@ def test_small_tiles_find_the_same_links(docs, rows):
     assert got == brute(rows, 3, 85)
 
 
+def test_bands_keep_the_miss_bound():
+    assert near.banding(85) == (16, 4) and near.banding(80) == (22, 4)
+    for percent in range(1, 101):
+        bands, rows = near.banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= near.MISS
+
+
+def test_pairs_at_a_low_threshold_are_found(spark):
+    rows = []
+    for i in range(200):  # pairs with 20 of 40 words in common
+        words = [f"p{i}w{j}" for j in range(40)]
+        rows += [(2 * i, " ".join(words[:30])), (2 * i + 1, " ".join(words[:20] + words[30:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(docs, 1, 50).collect()}
+    assert got == {i: i // 2 * 2 for i in range(400)}
+
+
 def test_empty_table(no_docs):
     assert near.near_duplicates(no_docs).collect() == []
 
