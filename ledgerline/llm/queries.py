@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, decontam, html, langid, lm, mixing, near, quality, substr, warc
+from ledgerline.llm import ann, audit, decontam, html, langid, lloyd, lm, mixing, near, quality, substr, warc
 from ledgerline.llm.shared import tables
 
 
@@ -78,6 +78,16 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(tables(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every embedding after three rounds from 16 hashed starting vectors."""
+    return lloyd.digest(lloyd.cluster(tables(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from every source, under all orders of the filters."""
+    return audit.audit(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz_backoff": op1_katz_backoff,
     "op2_super_kmer_dedup": op2_super_kmer_dedup,
@@ -89,6 +99,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_language": op10_language,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -96,7 +108,68 @@ WORDS = r"'[^\x20\x09-\x0D]+'"
 
 ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
+_GAP = "list_sum(list_transform(list_zip(v.e, c.e), z -> (z[1] - z[2]) * (z[1] - z[2])))"
+
+
+def _lloyd_sql(k: int, rounds: int, dims: int, scale: int) -> str:
+    """Lloyd's rounds written out one after another: ``near<r>`` assigns, ``mean<r>`` and ``c<r>`` move the centroids."""
+    parts = [
+        f"""v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) = {dims} AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x))))""",
+        f"""c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS k, e
+  FROM (SELECT sha256('1:' || vec_id) AS h, e FROM v ORDER BY h LIMIT {k}))""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"""near{r} AS (
+  SELECT vec_id, e, best.d AS d, best.k AS k
+  FROM (SELECT v.vec_id, v.e, min({{'d': CAST({_GAP} AS BIGINT), 'k': c.k}}) AS best FROM v, c{r} AS c GROUP BY v.vec_id, v.e))""")
+        if r < rounds:
+            parts.append(f"""mean{r} AS (
+  SELECT k, list(m ORDER BY i) AS e
+  FROM (SELECT k, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+    FROM (SELECT k, unnest(e) AS x, unnest(range(1, {dims} + 1)) AS i FROM near{r}) GROUP BY k, i) GROUP BY k),
+c{r + 1} AS (SELECT c.k, coalesce(m.e, c.e) AS e FROM c{r} AS c LEFT JOIN mean{r} AS m USING (k))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, k AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM near{rounds} JOIN c{rounds} AS c USING (k)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_centroid_clustering": _lloyd_sql(k=16, rounds=3, dims=64, scale=64),
+    "op13_filter_audit": f"""
+WITH doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {WORDS}) AS w
+  FROM documents),
+mark AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS bad FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT doc_id, part, CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+    + 4 * CAST(100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) AS INT)
+    + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(doc_id > min(doc_id) OVER (PARTITION BY t) AS INT) AS mask
+  FROM doc),
+cell AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(bad, 0)) AS bad
+  FROM judged LEFT JOIN mark USING (doc_id) GROUP BY part, mask),
+f(name, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (SELECT filter_order, s AS step, bits[s] AS bit, coalesce(list_sum(bits[1:s - 1]), 0)::INT AS past FROM orders, range(1, 6) AS r(s)),
+counted AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (past | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & past = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & past <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & past = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & past = 0 AND mask & bit <> 0 THEN bad ELSE 0 END) AS toxic_lost
+  FROM cell, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted""",
     "op4_warc_revisit": """
 WITH record AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
 digest AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS d FROM record),
