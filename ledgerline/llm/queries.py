@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, audit, decontam, html, langid, lloyd, lm, mixing, near, quality, substr, warc
+from ledgerline.llm import ann, audit, decontam, html, langid, lloyd, lm, mixing, near, quality, simhash, substr, warc
 from ledgerline.llm.shared import tables
 
 
@@ -83,6 +83,11 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lloyd.digest(lloyd.cluster(tables(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return simhash.digest(simhash.edited_fingerprints(tables(spark, sf_dir, "documents")))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes from every source, under all orders of the filters."""
     return audit.audit(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels"))
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_language": op10_language,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_simhash": op12_simhash,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -108,15 +114,15 @@ WORDS = r"'[^\x20\x09-\x0D]+'"
 
 ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
-_GAP = "list_sum(list_transform(list_zip(v.e, c.e), z -> (z[1] - z[2]) * (z[1] - z[2])))"
+_GAP = "list_sum(list_transform(list_zip(v.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
 
 
 def _lloyd_sql(k: int, rounds: int, dims: int, scale: int) -> str:
     """Lloyd's rounds written out one after another: ``near<r>`` assigns, ``mean<r>`` and ``c<r>`` move the centroids."""
     parts = [
         f"""v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
-  WHERE len(embedding) = {dims} AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x))))""",
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) = {dims} AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))))""",
         f"""c0 AS (
   SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS k, e
   FROM (SELECT sha256('1:' || vec_id) AS h, e FROM v ORDER BY h LIMIT {k}))""",
@@ -137,7 +143,43 @@ SELECT vec_id, k AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS
 FROM near{rounds} JOIN c{rounds} AS c USING (k)"""
 
 
+def _simhash_sql(n: int, bits: int, radius: int) -> str:
+    """Votes bit by bit over the terms of the text (``z`` = 0) and of the edited text (``z`` = 1)."""
+    votes = ",\n    ".join(f"CASE WHEN 2 * sum((h >> {i}) & 1) > count(h) THEN 1 ELSE 0 END AS b{i}" for i in range(bits))
+    digits = [f"8 * b{i + 3} + 4 * b{i + 2} + 2 * b{i + 1} + b{i}" for i in range(bits - 4, -1, -4)]
+    fingerprint = " || ".join(f"substr('0123456789abcdef', {d} + 1, 1)" for d in digits)
+    gram = " || ' ' || ".join(f"w[i + {j}]" for j in range(n))
+    return f"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+chain AS (
+  SELECT doc_id, text, length(text) AS n, coalesce(lead(text) OVER o, first_value(text) OVER o) AS after,
+    coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next_id
+  FROM doc WINDOW o AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+edit AS (SELECT *, left(text, n - n // 2) || left(after, n // 2) AS edited FROM chain),
+split AS (
+  SELECT doc_id, z, regexp_extract_all({LOWER}, {WORDS}) AS w
+  FROM (SELECT doc_id, 0 AS z, text FROM edit UNION ALL SELECT doc_id, 1, edited FROM edit)),
+term AS (
+  SELECT doc_id, z, unnest(CASE WHEN len(w) = 0 THEN [NULL] WHEN len(w) < {n} THEN [array_to_string(w, ' ')]
+    ELSE [{gram} for i in range(1, len(w) - {n - 2})] END) AS g FROM split),
+hashed AS (SELECT doc_id, z, ('0x' || left(md5(g), {bits // 4}))::UBIGINT AS h FROM term),
+voted AS (
+  SELECT doc_id, z,
+    {votes}
+  FROM hashed GROUP BY doc_id, z),
+print AS (SELECT doc_id, z, {fingerprint} AS f FROM voted),
+code AS (SELECT doc_id, z, f, ('0x' || f)::UBIGINT AS v FROM print),
+one AS (SELECT DISTINCT v FROM code WHERE z = 0),
+crowd AS (SELECT x.v, count(*) AS m FROM one x JOIN one y ON x.v <> y.v AND bit_count(xor(x.v, y.v)::BIT) <= {radius} GROUP BY x.v)
+SELECT e.doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, a.f AS fingerprint, b.f AS edited_fingerprint,
+  CAST(1 - bit_count(xor(a.v, b.v)::BIT) / {bits}.0 AS DOUBLE) AS near_edited,
+  CAST(1 - bit_count(xor(a.v, c.v)::BIT) / {bits}.0 AS DOUBLE) AS near_next, coalesce(m, 0) AS n_near
+FROM edit e JOIN code a ON a.doc_id = e.doc_id AND a.z = 0 JOIN code b ON b.doc_id = e.doc_id AND b.z = 1
+JOIN code c ON c.doc_id = e.next_id AND c.z = 0 LEFT JOIN crowd ON crowd.v = a.v"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op12_simhash": _simhash_sql(n=5, bits=64, radius=3),
     "op11_centroid_clustering": _lloyd_sql(k=16, rounds=3, dims=64, scale=64),
     "op13_filter_audit": f"""
 WITH doc AS (
