@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.numeric import exact_sum, nan_to_null, round_half_away
+from ledgerline.functions.numeric import exact_moments, exact_sum, nan_to_null, round_half_away
 
 # The two z-score labels and the threshold (z strictly above it is an outlier).
 OUTLIER_LABEL = "millésimé"
@@ -68,17 +68,17 @@ def zscore_classify(
     skipped by the statistics. With one row or no spread, z is NULL (not an
     error, not NaN) and the row is ordinary; a finiteness rule then reports it.
 
-    Plan: mean and *sample* standard deviation are scalar subqueries over the
-    same rows; the optimizer merges them into one partial/final aggregate whose
-    single value is inlined into a map-only projection. No join, and no global
-    ``Window.partitionBy()`` (which would move every row to one task).
+    Mean and *sample* standard deviation come from ``exact_moments``, so z and label are the same bit by bit on every
+    partitioning, also for values next to the threshold.
+
+    Plan: the statistics are scalar subqueries over the value column, each a partial/final aggregate, inlined into a
+    map-only projection. No join, and no global ``Window.partitionBy()`` (which would move every row to one task).
     """
     keep = list(keep) if keep is not None else list(df.columns)
     rows = df.filter(F.col(value).isNotNull())
     v = nan_to_null(F.col(value))
     stats = rows.select(v.alias("__v"))
-    mean = stats.select(F.avg("__v")).scalar()
-    sd = stats.select(F.stddev_samp("__v")).scalar()
+    mean, sd = exact_moments(stats, "__v")
     # NaN z (an infinite value makes the mean infinite and sd NaN) -> NULL, so it
     # is never "> threshold" (NaN sorts above every number in Spark SQL).
     z = nan_to_null(F.try_divide(v - mean, F.nullif(sd, F.lit(0.0))))

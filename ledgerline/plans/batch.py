@@ -1,7 +1,8 @@
 """The staged batch run: land -> clean -> dedup -> fusion -> snapshot -> figures -> report.
 
-Each stage table is written once as Parquet under ``<output_root>/stages/<name>``
-and the next stage reads it back. That cuts lineage (a lost executor recomputes
+Each stage table is written once as a new version of ``<output_root>/stages/<name>``
+(``sources.versions``: a rerun that dies leaves the tables of the run before) and
+the next stage reads it back. That cuts lineage (a lost executor recomputes
 at most one stage, from files on shared storage), and every later figure reads
 a materialised table instead of recomputing the chain. Quality rules run after
 each stage, and a failed rule stops the run there: no later stage is computed
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import clean, metrics, quality, report
 from ledgerline.plans import chain as C
 from ledgerline.plans import reporting
-from ledgerline.sources import files, schemas
+from ledgerline.sources import files, schemas, snapshots, versions
 from ledgerline.sources import tables as T
 
 
@@ -39,8 +40,9 @@ class BatchResult:
 class Stager:
     """Writes a stage once and hands back a DataFrame that reads the written files.
 
-    ``put(..., bucket_by=key)`` writes the stage as an external bucketed table at
-    the same path (``buckets``, by default ``spark.sql.shuffle.partitions``). A
+    ``put`` replaces the stage table at ``<root>/stages/<name>`` as a whole; ``paths``
+    has the folder of the version that it wrote. ``put(..., bucket_by=key)`` writes
+    the version as an external bucketed table (``buckets``, by default ``spark.sql.shuffle.partitions``). A
     dedup stage is already hash-partitioned that way by its aggregate, so the
     write adds no shuffle, and a later join of two stages bucketed on the join
     key reads both sides co-located: no exchange. Bucket only by a key that is
@@ -57,22 +59,25 @@ class Stager:
         self.run_id = uuid.uuid4().hex[:12]
 
     def put(self, name: str, df: DataFrame, bucket_by: str | None = None) -> DataFrame:
-        path = f"{self.root}/stages/{name}"
-        self.paths[name] = path
+        root = f"{self.root}/stages/{name}"
         if bucket_by is None:
-            files.write_parquet(df, path)
-            return self.spark.read.schema(df.schema).parquet(path)
+            self.paths[name] = versions.replace(df, root)
+            return self.spark.read.schema(df.schema).parquet(self.paths[name])
         table = f"ledgerline_{self.run_id}_{name}"
-        (
-            df.write.mode("overwrite")
-            .format("parquet")
-            .bucketBy(self.buckets, bucket_by)
-            .option("path", path)
-            .saveAsTable(table)
-        )
-        written = self.spark.read.table(table)
-        self.spark.sql(f"DROP TABLE {table}")  # external: drops the entry, not the files
-        return written
+
+        def bucketed(writer, path):
+            writer.format("parquet").bucketBy(self.buckets, bucket_by).option("path", path).saveAsTable(table)
+
+        try:
+            self.paths[name] = versions.replace(df, root, bucketed)
+            return self.spark.read.table(table)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: drops the entry, not the files
+
+    def put_split(self, name: str, df: DataFrame, label_col: str) -> DataFrame:
+        """A stage partitioned by a label, in one pass (``<version>/<label_col>=<value>/``)."""
+        self.paths[name] = versions.replace(df, f"{self.root}/stages/{name}", lambda writer, path: writer.partitionBy(label_col).parquet(path))
+        return self.spark.read.parquet(self.paths[name])
 
     def put_dedups(self, erp: DataFrame, web: DataFrame, link: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """The dedup stages: master and link bucketed on the product (unique in both, so their join is co-located), posts as
@@ -106,18 +111,18 @@ class _Gate:
     """Evaluates the rules of a stage, writes them, and stops the run there if one failed."""
 
     def __init__(self, spark: SparkSession, root: str, stop: bool):
-        self.spark, self.root, self.stop = spark, root, stop
-        self.paths: list[str] = []
+        self.spark, self.stop = spark, stop
+        self.root = f"{root}/checks"  # one table, partitioned by stage
+        versions.delete_folder(spark, self.root)  # the record is that of one run
 
     def check(self, stage: str, *results: DataFrame) -> None:
-        path = f"{self.root}/checks/{stage}"
+        path = f"{self.root}/stage={stage}"
         files.write_parquet(quality.union_results(results), path)
-        self.paths.append(path)
         if self.stop:
             quality.raise_on_failure(self.spark.read.parquet(path))
 
     def all(self) -> DataFrame:
-        return self.spark.read.parquet(*self.paths)
+        return self.spark.read.parquet(self.root)
 
 
 def _drop_empty(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -197,8 +202,8 @@ def run_batch(
         quality.columns_present(spark, fused, "fusion", ["product_id", "price", "stock_status", "post_title"]),
     )
 
-    # Frozen copy of every table up to the fusion, before any analytics.
-    res.snapshot = files.snapshot_frames(
+    # Frozen copy of every table up to the fusion, with a manifest of digests, before any analytics.
+    res.snapshot = snapshots.freeze(
         {
             "erp_clean": erp_clean, "web_clean": web_clean, "liaison_clean": link_clean,
             "erp_dedup": erp_dedup, "web_dedup": web_dedup, "liaison_dedup": link_dedup, "fusion": fused,
@@ -227,10 +232,7 @@ def run_batch(
     else:
         zdf, zval, zkeep = zscore_source
     classified = metrics.zscore_classify(zdf, zval, keep=zkeep)
-    # One pass writes both label sets (<root>/stages/zscore/type=<label>/).
-    files.write_split_by_label(classified, f"{out}/stages/zscore", "type")
-    st.paths["zscore"] = f"{out}/stages/zscore"
-    zscore = spark.read.parquet(st.paths["zscore"])
+    zscore = st.put_split("zscore", classified, "type")
     outliers = metrics.select_label(zscore, metrics.OUTLIER_LABEL)
     gate.check(
         "zscore",

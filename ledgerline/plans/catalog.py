@@ -20,7 +20,7 @@ from ledgerline.operators.fuse import FUSION_ERP_COLUMNS, FUSION_WEB_COLUMNS, fu
 from ledgerline.plans import acceptance, reporting
 from ledgerline.plans import chain as C
 from ledgerline.session import scratch_path
-from ledgerline.sources import files
+from ledgerline.sources import files, infer, snapshots, versions
 from ledgerline.sources import tables as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,13 +67,17 @@ web_clean AS (SELECT * FROM web_raw WHERE {_sql_required(T.WEB_REQUIRED)}),
 web_dedup AS (
   SELECT DISTINCT ON (sku) * FROM web_clean WHERE post_type = '{T.PRODUCT_POST_TYPE}'
   ORDER BY sku, {_sql_list(f"{c} DESC NULLS LAST" for c in _WEB_ORDER)}),
-linked AS (SELECT link_dedup.product_id AS linked_id, web_dedup.* FROM web_dedup JOIN link_dedup ON id_web = sku),
+target AS (SELECT product_id, id_web AS sku FROM link_dedup),
 fusion AS (
   SELECT {_sql_list(FUSION_ERP_COLUMNS)}, {_sql_list(FUSION_WEB_COLUMNS)}
-  FROM linked, erp_dedup WHERE product_id = linked_id),
-sellable AS (SELECT * FROM fusion WHERE stock_status = '{T.INSTOCK_STATUS}' AND NOT stock_quantity <= 0),
+  FROM erp_dedup JOIN target USING (product_id) JOIN web_dedup USING (sku)),
+sold AS (
+  SELECT product_id FROM erp_clean GROUP BY product_id
+  HAVING MAX(stock_quantity) > 0 AND bool_or(stock_status = '{T.INSTOCK_STATUS}') AND NOT bool_or(stock_status > '{T.INSTOCK_STATUS}')),
 revenue AS (
-  SELECT product_id, post_title, price, stock_quantity, ROUND(stock_quantity * price, 2) AS chiffre_affaires FROM sellable),
+  SELECT product_id, post_title, price, stock_quantity,
+    CAST(ROUND(CAST(price AS DECIMAL(18,6)) * CAST(stock_quantity AS DECIMAL(18,0)), 2) AS DOUBLE) AS chiffre_affaires
+  FROM fusion SEMI JOIN sold USING (product_id)),
 total AS (SELECT CAST(SUM(CAST(chiffre_affaires AS DECIMAL(18,2))) AS DOUBLE) AS ca_total FROM revenue),
 ev AS (SELECT event_id, user_id, value FROM (SELECT event_id, user_id, {event_value} AS value FROM events) WHERE value IS NOT NULL),
 ev_stats AS (
@@ -723,6 +727,109 @@ def q_csv_landing(spark, d):
     return fused.select(*FUSION_ERP_COLUMNS, *FUSION_WEB_COLUMNS, "lot")
 
 
+def _dropped(spark, label, df, **options):
+    """``df`` written as header CSV; then landed with inferred types. Jobs at build time: the drop and its landing."""
+    path = scratch_path(spark, f"{label}-drop")
+    df.write.options(**(files.CSV_WRITE_OPTIONS | options)).csv(path)
+    landed, _ = infer.land_inferred(spark, path, scratch_path(spark, f"{label}-landed"))
+    return landed
+
+
+@register("csv_inferred", "SELECT * FROM lineitem")
+def q_csv_inferred(spark, d):
+    """The lines dropped as CSV; every column gets its type back from the values alone."""
+    return _dropped(spark, "inferred", T.table(spark, d, "lineitem"))
+
+
+@register("csv_inferred_texts", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_csv_inferred_texts(spark, d):
+    """Whole texts with quotes, delimiters and line breaks between typed columns, dropped with semicolons."""
+    return _dropped(spark, "inferred-texts", T.table(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars"), sep=";")
+
+
+# Defects of a drop, the same text on both sides: blanks, a column without values, one odd value in the last row.
+_DROP = {
+    "event_id": "event_id",
+    "bought": "event_type = 'purchase'",
+    "value": "CASE WHEN event_id % 11 <> 0 THEN value END",
+    "amount": "CASE WHEN event_id % 5 = 0 THEN user_id ELSE value END",
+    "visitor": "CASE WHEN event_id = (SELECT MAX(event_id) FROM events) THEN 'nobody' ELSE CAST(user_id AS {text}) END",
+    "ts": "CASE WHEN event_id % 13 <> 0 THEN ts END",
+    "empty": "CAST(NULL AS {text})",
+}
+
+
+@register("csv_inferred_defects", "SELECT " + ", ".join(f"{e.format(text='VARCHAR')} AS {n}" for n, e in _DROP.items()) + " FROM events")
+def q_csv_inferred_defects(spark, d):
+    """Events dropped with defects: a column is what all of its values are, so one odd value makes it text."""
+    events = T.table(spark, d, "events")
+    last = events.agg(F.max("event_id").alias("m")).scalar()
+    made = {n: e.format(text="STRING") for n, e in _DROP.items()}
+    odd = F.when(F.col("event_id") == last, "nobody").otherwise(F.col("user_id").cast("string"))
+    return _dropped(spark, "inferred-defects", events.select(*[odd.alias(n) if n == "visitor" else F.expr(e).alias(n) for n, e in made.items()]))
+
+
+@register("table_replaced", DIRTY_SQL + "SELECT * FROM web_dedup")
+def q_table_replaced(spark, d):
+    """One table replaced twice by queries over itself: raw posts, cleaned posts, newest posts. Jobs at build time: the writes."""
+    root = scratch_path(spark, "replaced")
+    ch = _dirty(spark, d)
+    versions.replace(ch.web_raw, root)
+    raw = versions.read(spark, root)
+    versions.replace(clean.clean_required(raw, ch.rules.web_required), root)
+    versions.replace(C.dedup_web(versions.read(spark, root), ch.rules), root)
+    return versions.read(spark, root)
+
+
+def _exact_total_sql(name: str, source: str, x: str) -> str:
+    """``<name>(total, n)``: the fixed-point sum of ``x``, in groups of 30 binary orders of magnitude."""
+    return f"""
+{name}_word AS (
+  SELECT bin, s, round_even(s, 0) AS high
+  FROM (SELECT bin, x * pow(2, 31 - 30 * bin) AS s
+    FROM (SELECT x, CASE WHEN x <> 0 THEN greatest(-30, CAST(floor(log2(abs(x)) / 30) AS INT)) ELSE 0 END AS bin FROM (SELECT {x} AS x FROM {source})))),
+{name}_bin AS (
+  SELECT bin, count(*) AS n, (CAST(sum(CAST(high AS HUGEINT)) AS DOUBLE)
+    + CAST(sum(CAST(round_even((s - high) * pow(2, 62), 0) AS HUGEINT)) AS DOUBLE) * pow(2, -62)) * pow(2, 30 * bin - 31) AS total
+  FROM {name}_word GROUP BY bin),
+{name} AS (SELECT list_reduce(list(total ORDER BY bin), lambda a, b: a + b) AS total, sum(n) AS n FROM {name}_bin)"""
+
+
+@register(
+    "zscore_exact",
+    "WITH first_sum AS (SELECT value FROM events WHERE value IS NOT NULL),"
+    + _exact_total_sql("s1", "first_sum", "value")
+    + ", mean AS (SELECT total / n AS m FROM s1), apart AS (SELECT value - m AS d FROM first_sum, mean),"
+    + _exact_total_sql("s2", "apart", "d * d")
+    + f""", sd AS (SELECT sqrt(total / (n - 1)) AS sd FROM s2)
+SELECT event_id, value, (value - m) / sd AS z_score,
+  CASE WHEN (value - m) / sd > {metrics.Z_THRESHOLD} THEN '{metrics.OUTLIER_LABEL}' ELSE '{metrics.ORDINARY_LABEL}' END AS type
+FROM events, mean, sd WHERE value IS NOT NULL""",
+)
+def q_zscore_exact(spark, d):
+    """z as it is, not rounded: mean and deviation come from exact sums, so any engine and partitioning gives the same bits."""
+    return metrics.zscore_classify(T.table(spark, d, "events"), "value", keep=["event_id", "value"])
+
+
+_SNAPSHOT_SQL = {
+    "fusion": "fusion",
+    "web_clean": "web_clean",
+    "link_dedup": "link_dedup",
+}
+
+
+@register(
+    "snapshot_verified",
+    DIRTY_SQL + _union_sql([f"SELECT '{n}' AS table_name, COUNT(*) AS n_rows, true AS intact FROM {t}" for n, t in _SNAPSHOT_SQL.items()]),
+)
+def q_snapshot_verified(spark, d):
+    """Three tables frozen with their digests and checked from the files. Jobs at build time: the copies and their digests."""
+    root = scratch_path(spark, "frozen")
+    ch = _dirty(spark, d)
+    snapshots.freeze({"fusion": ch.fused, "web_clean": ch.web_clean, "link_dedup": ch.link_dedup}, root)
+    return snapshots.verify(spark, root).select("table_name", "n_rows", "intact")
+
+
 @register("published_roundtrip", DIRTY_SQL + "SELECT * FROM revenue")
 def q_published_roundtrip(spark, d):
     """The revenue table published as CSV under a root and fetched from there by name. Job at build time: the write."""

@@ -23,8 +23,13 @@ CSV_OPTIONS = {
 }
 
 
-# What the header CSV must keep as it is: outer blanks, and empty text apart from NULL.
-CSV_WRITE_OPTIONS = CSV_OPTIONS | {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# What the header CSV must keep as it is: outer blanks, empty text apart from NULL, and microseconds.
+CSV_WRITE_OPTIONS = CSV_OPTIONS | {
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:

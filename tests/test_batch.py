@@ -61,7 +61,7 @@ def test_failed_cleaning_rule_leaves_no_dedup_stage(spark):
     with pytest.raises(DataQualityError, match="web_clean"):
         batch.run_batch(spark, sources, out, rules=TEST_TABLE_RULES, land_sources=False)
     local = out[len("file:"):] if out.startswith("file:") else out
-    assert os.path.exists(os.path.join(local, "checks", "clean"))
+    assert os.path.exists(os.path.join(local, "checks", "stage=clean"))
     assert not os.path.exists(os.path.join(local, "stages", "erp_dedup"))
 
 

@@ -57,3 +57,44 @@ def test_safe_name(spark):
     # the degree sign has no ASCII form and disappears, a space becomes '_', and
     # one-half decomposes to 1, FRACTION SLASH (non-ASCII, dropped), 2.
     assert got == ["Fichier_erp.xlsx", "Creme_bruleeTM_25", "fine_12", None]
+
+
+def test_moments_are_equal_bit_by_bit_on_every_partitioning(spark):
+    import random
+    import statistics
+    from fractions import Fraction
+
+    from ledgerline.functions.numeric import exact_moments
+    from ledgerline.operators import metrics
+
+    r = random.Random(5)
+    values = [r.gauss(10, 3) * 10.0 ** r.choice([-6, 0, 0, 5]) for _ in range(3000)] + [0.0, 1e-300, 5e-324, -1e12]
+    frames = [spark.createDataFrame([(v,) for v in values], "v double").repartition(n) for n in (1, 7, 64)]
+
+    def moments(df):
+        mean, sd = exact_moments(df, "v")
+        return tuple(spark.range(1).select(mean, sd).first())
+
+    found = [moments(df) for df in frames]
+    assert len(set(found)) == 1
+    assert found[0][0] == float(sum(map(Fraction, values)) / len(values))
+    assert abs(found[0][1] / statistics.stdev(values) - 1) < 1e-15
+    # a value whose z is 2 up to the last bits keeps its label
+    mean, sd = found[0]
+    near = [mean + 2 * sd * (1 + k * 2.0**-52) for k in range(-3, 4)]
+    labelled = [spark.createDataFrame([(v,) for v in values + near], "v double").repartition(n) for n in (1, 7, 64)]
+    z = [sorted((x.v, x.z_score, x.type) for x in metrics.zscore_classify(df, "v").collect()) for df in labelled]
+    assert z[0] == z[1] == z[2]
+
+
+def test_moments_of_few_or_odd_values(spark):
+    from ledgerline.functions.numeric import exact_moments
+
+    def moments(*values):
+        mean, sd = exact_moments(spark.createDataFrame([(v,) for v in values], "v double"), "v")
+        return tuple(spark.range(1).select(mean, sd).first())
+
+    assert moments() == moments(None) == (None, None)
+    assert moments(1.0, None) == (1.0, None) and moments(2.0, 2.0, 2.0) == (2.0, 0.0) and moments(0.0, 0.0) == (0.0, 0.0)
+    assert moments(1.0, float("inf")) == (None, None)
+    assert moments(1e300, -1e300) == (0.0, None)  # the square is beyond a double
