@@ -32,6 +32,8 @@ LEAF_ROWS = 48  # sample vectors in a leaf, about
 CALIBRATION = 256  # calibration queries, at most
 TARGET = 0.96  # share of their exact neighbours that the visited leaves must hold
 CELL_ROWS, CELL_QUERIES = 8192, 4096
+MARGIN = 1e-12  # of a blocked product of unit vectors; its rounding error is far smaller
+PAIRS = 1 << 16  # exact cosines computed at a time
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -115,19 +117,27 @@ def _fit(table: pa.Table) -> pa.Table:
     return pa.table({"tree": pa.array([cloudpickle.dumps(Tree(unit(matrix(table.column("embedding")))))], pa.binary())})
 
 
-def _best(query: np.ndarray, queries: np.ndarray, rows: np.ndarray, vectors: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each query the ``count`` rows of largest cosine: query numbers, row numbers, cosines."""
+def _best(query: np.ndarray, queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each query the ``count`` rows of largest cosine, ties to smaller ``ids``: query numbers, row numbers, cosines.
+
+    A blocked product proposes every row within its rounding error of the ``count``-th best; the exact cosines of those
+    decide, so rows of equal cosine (positive multiples of one vector) are never chosen by their place.
+    """
     count = min(count, len(vectors))
     u = unit(vectors)
     found_q, found_r, found_s = [], [], []
     for first in range(0, len(queries), 512):
         near = unit(queries[first : first + 512]) @ u.T
-        best = np.argpartition(-near, count - 1, axis=1)[:, :count] if count < near.shape[1] else np.broadcast_to(np.arange(near.shape[1]), near.shape)
-        q = np.repeat(np.arange(first, first + len(near)), count)
-        r = best.reshape(-1)
-        found_q.append(query[q])
-        found_r.append(rows[r])
-        found_s.append(cosine(queries[q], vectors[r]))
+        least = np.partition(near, near.shape[1] - count, axis=1)[:, near.shape[1] - count]
+        proposed_q, proposed_r = np.nonzero(near >= least[:, None] - MARGIN)
+        score = np.concatenate([cosine(queries[first + proposed_q[i : i + PAIRS]], vectors[proposed_r[i : i + PAIRS]]) for i in range(0, len(proposed_q), PAIRS)])
+        order = np.lexsort((ids[proposed_r], -score, proposed_q))
+        q = proposed_q[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        keep = order[place < count]
+        found_q.append(query[first + proposed_q[keep]])
+        found_r.append(rows[proposed_r[keep]])
+        found_s.append(score[keep])
     return np.concatenate(found_q), np.concatenate(found_r), np.concatenate(found_s)
 
 
@@ -207,7 +217,7 @@ def search(embeddings: DataFrame, every: int = 50, k: int = 5, target: float = T
     def meet(asks: pa.Table, there: pa.Table) -> pa.Table:
         if not asks.num_rows or not there.num_rows:
             return pa.table({"query": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64()), "ids": pa.array([], pa.list_(pa.int64()))})
-        a, b, s = _best(asks.column("vec_id").to_numpy(), matrix(asks.column("embedding")), np.arange(there.num_rows), matrix(there.column("embedding")), k + 3)
+        a, b, s = _best(asks.column("vec_id").to_numpy(), matrix(asks.column("embedding")), np.arange(there.num_rows), there.column("vec_id").to_numpy(), matrix(there.column("embedding")), k + 3)
         at = pa.array(b)
         return pa.table({"query": pa.array(a), "vec_id": there.column("vec_id").take(at), "score": pa.array(s), "ids": there.column("ids").take(at)})
 
@@ -230,7 +240,7 @@ def _calibrate(placed: DataFrame, queries: DataFrame, tree: Tree, k: int, target
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                a, r, s = _best(*shared.value, np.arange(b.num_rows), matrix(b.column("embedding")), k + 1)
+                a, r, s = _best(*shared.value, np.arange(b.num_rows), b.column("vec_id").to_numpy(), matrix(b.column("embedding")), k + 1)
                 yield pa.RecordBatch.from_arrays([pa.array(a), b.column("vec_id").take(pa.array(r)), b.column("leaf").take(pa.array(r)), pa.array(s)], names=["query", "vec_id", "leaf", "score"])
 
     near = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")

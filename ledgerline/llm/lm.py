@@ -47,7 +47,7 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per block; codes are numbered by frequency so that most are small."""
     task = TaskContext.get().partitionId()
     for n, batch in enumerate(bounded(batches, "text", BLOCK_BYTES)):
-        block = word_block(batch.column("text"))
+        block = word_block(batch.column("text"), lower=True)
         order = np.argsort(-np.bincount(block.codes, minlength=len(block.words)), kind="stable")
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))

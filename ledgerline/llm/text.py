@@ -10,6 +10,7 @@ Words are ``[^\\x20\\x09-\\x0D]+``. A null text has no words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -47,10 +48,19 @@ def pieces(texts: pa.Array, most: int = BLOCK_BYTES) -> list[tuple[int, int]]:
 
 
 def bounded(batches: Iterable[pa.RecordBatch], column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches by the sizes of their texts (see ``pieces``)."""
+    """Cut batches by the sizes of their texts (see ``pieces``). Memory that a batch leaves free goes back to the system."""
     for batch in batches:
         for a, b in pieces(batch.column(column), most):
             yield batch.slice(a, b - a)
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a reused Python worker otherwise keeps the peak of every stage that it has run."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
 
 
 def word_block(texts: pa.Array, lower: bool = False) -> WordBlock:

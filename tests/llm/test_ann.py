@@ -72,3 +72,19 @@ def test_every_leaf_is_visited_once():
     tree = ann.Tree(x)
     assert sorted(tree.order(x[0])) == list(range(tree.leaves))
     assert next(tree.order(x[3])) == tree.place(x[3:4])[0]
+
+
+def test_multiples_of_one_vector_go_by_id(spark):
+    r = np.random.default_rng(3)
+    noise = [(i, [float(np.float32(x)) for x in r.standard_normal(16)]) for i in range(700)]
+    line = [(1000 + i * 5, [float(1 + (i * 7) % 40)] * 16) for i in range(40)]  # equal cosines, exact in doubles
+    got = ann.search(spark.createDataFrame(noise + line, SCHEMA).repartition(4), every=100).collect()
+    for query in (1000, 1100):
+        found = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == query)
+        assert [i for _, i, _ in found] == [i for i, _ in line if i != query][:5] and {s for _, _, s in found} == {1.0}
+
+
+def test_the_cut_keeps_every_tie_before_it_chooses():
+    vectors = np.vstack([np.ones((30, 4)) * np.arange(30, 0, -1)[:, None], np.eye(4)])
+    q, rows, score = ann._best(np.array([7]), np.ones((1, 4)), np.arange(34), np.arange(100, 66, -1), vectors, 3)
+    assert q.tolist() == [7, 7, 7] and rows.tolist() == [29, 28, 27] and score.tolist() == [1.0] * 3

@@ -8,12 +8,13 @@ import pytest
 from ledgerline.llm import lm
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 HELD = "crc32(cast(doc_id as string)) % 7 = 2"
 
 
 def brute(rows):
     """Katz bigram by dictionaries."""
-    texts = [(r[0], None if r[0] is None else zlib.crc32(str(r[0]).encode()) % 7 == 2, ["<s>", *WORD.findall(r[1] or ""), "</s>"]) for r in rows]
+    texts = [(r[0], None if r[0] is None else zlib.crc32(str(r[0]).encode()) % 7 == 2, ["<s>", *WORD.findall((r[1] or "").translate(LOWER)), "</s>"]) for r in rows]
     one, two = {}, {}
     for _, held, t in texts:
         if held is False:
@@ -87,3 +88,22 @@ def test_discounts_lie_between_zero_and_one():
     mass = sum((1 - turing[r]) * r * n for r, n in enumerate([1000, 200, 80, 40, 25], 1))
     assert mass == pytest.approx(1000)  # Katz: the discounted mass is that of the n-grams seen once
     assert not np.isnan(turing).any()
+
+
+def test_base_score_of_a_given_table_counted_plainly(spark):
+    from ledgerline.llm.queries import op1_katz_backoff
+    from tests.conftest import SF_SMALL
+
+    rows = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
+    tokens = {r.doc_id: [t for t in re.split(r"[ \t-\r]+", (r.text or "").translate(LOWER)) if t] + [None] for r in rows}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
+    count: dict = {}
+    for i, own in tokens.items():
+        for t in [] if held[i] else own:
+            count[t] = count.get(t, 0) + 1
+    total, size = sum(count.values()), len(count)
+    assert any(re.search("[A-Z]", r.text or "") for r in rows)
+    for r in op1_katz_backoff(spark, SF_SMALL).collect():
+        own = tokens[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(own), sum(t in count for t in own), total)
+        assert r.base_score == pytest.approx(sum(math.log10((count.get(t, 0) + 1) / (total + size + 1)) for t in own), rel=1e-12)
