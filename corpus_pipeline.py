@@ -33,10 +33,15 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each near-duplicate component (5-word shingles, similarity 0.8).
 
-    Rows without a doc_id stay. Rows that repeat doc_id and text are one document.
+    Rows without a doc_id all stay. Rows that repeat doc_id and text are one document, and one of them stays.
     """
     dropped = near.near_duplicates(docs, shingle=5, percent=80).filter("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*_columns(docs)).dropDuplicates(["doc_id", "text"])
+    own = "own_number"
+    while own in docs.columns:
+        own += "_"
+    apart = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())  # no two rows without an id are one document
+    kept = docs.join(dropped, "doc_id", "left_anti").select(*_columns(docs), apart.alias(own))
+    return kept.dropDuplicates(["doc_id", "text", own]).drop(own)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,10 +17,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerline.llm.shared import staged
-from ledgerline.llm.text import WordBlock, pieces, word_block
+from ledgerline.llm.text import WordBlock, give_back, pieces, word_block
 
 SAMPLE_ROWS = 1500  # labelled texts of each label, at most
 WORD_TERMS, SHAPE_TERMS = 4096, 2048
@@ -32,7 +31,7 @@ _SHAPES = (re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"(\W)\1+"))
 
 
 def _shape(word: str) -> str:
-    letters = _SHAPES[0].sub(lambda m: "X" if len(m[0]) > 1 and m[0].isupper() else "C" if m[0][0].isupper() else "x", word[:64])
+    letters = _SHAPES[0].sub(lambda m: "X" if len(m[0]) > 1 and m[0].isupper() else "C" if m[0][0].isupper() else "x", word)
     return _SHAPES[2].sub(r"\1\1", _SHAPES[1].sub("9", letters))
 
 
@@ -92,16 +91,20 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """Fit on at most ``sample_rows`` labelled texts of each label (smallest hash of doc_id); None without any.
 
     A sampled text votes for as many labelled texts of its label as it stands for. Labels other than 0 and 1, null
-    doc_ids and null texts teach nothing; rows that repeat a doc_id in ``labels`` count once, with the lowest label.
+    doc_ids and null texts teach nothing; rows that repeat a doc_id in ``labels`` count once, with the lowest label, and of
+    the texts that share a doc_id one teaches (smallest hash).
     """
     have = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
     known = labels.filter("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality"))
     usable = staged(known.join(have.distinct(), "doc_id", "left_semi"), "quality-labels")
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    some = usable.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_rows).drop("n")
+    # the first rows of each label by hash: every task keeps its own first rows, so no task sorts a whole label
+    some, other = (usable.filter(F.col("quality") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows) for label in (0, 1))
+    some = some.unionByName(other)
     totals = usable.groupBy("quality").agg(F.count("*").alias("total")).withColumn("weight", F.expr(f"cast(greatest(total, 1) as double) / least(total, {int(sample_rows)})"))
     chosen = staged(some.join(totals.select("quality", "weight"), "quality"), "quality-sample")
     texts = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    # a doc_id that repeats gives one text, however many rows it has
+    texts = texts.groupBy("doc_id", "quality", "weight").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")).select("doc_id", "quality", "weight", F.col("first.text").alias("text"))
     fitted = texts.groupBy(F.lit("all").alias("sample")).applyInArrow(_fit, "model binary").collect()
     return pickle.loads(fitted[0].model) if fitted else None
 
@@ -143,5 +146,6 @@ def score(docs: DataFrame, model: dict | None, text: str = "text", name: str = "
         own = shared.value
         for texts in batches:
             yield pa.array(score_texts(own, texts), pa.float64())
+            give_back()
 
     return docs.withColumn(name, judge(F.col(text).cast("string")))

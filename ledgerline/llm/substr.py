@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.shared import bucket_count, plan_bytes, staged
-from ledgerline.llm.text import WordBlock, bounded, gram_hashes, inside, mix64, pieces, word_block
+from ledgerline.llm.text import WordBlock, bounded, give_back, gram_hashes, inside, mix64, pieces, word_block
 
 M = 3
 BUCKET_BYTES = 4 << 20
@@ -181,6 +181,8 @@ def _repeats(k: int):
                 at += n
             if strings:
                 found.append(_count(strings, docs[shared], keys[shared], places[shared], k))
+                del strings
+                give_back()
         return pa.concat_tables(found)
 
     return run

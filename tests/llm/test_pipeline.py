@@ -63,5 +63,12 @@ def test_run_ends_clean(spark):
 
 def test_registered():
     assert len(p.STAGES) == 5 and p.ORACLE_SQL is None
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert os.path.exists(SF_SMALL)
+
+
+def test_rows_without_a_doc_id_all_stay(spark):
+    rows = [(None, None, "a"), (None, None, "b"), (None, "same text", "a"), (None, "same text", "a"), (1, "same text", "x"), (1, "same text", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, own_number string")
+    left = p.drop_near_duplicates(spark, docs, "")
+    assert left.columns == docs.columns and sorted((r[0] or 0, r[1] or "", r[2]) for r in left.collect()) == sorted((r[0] or 0, r[1] or "", r[2]) for r in rows[:-1])

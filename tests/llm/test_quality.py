@@ -67,3 +67,14 @@ def test_the_sample_is_bounded(spark):
     model = quality.train(docs, labels, sample_rows=10)
     assert len(model["labels"]) == 20
     assert model["weights"].sum() == pytest.approx(100)
+
+
+def test_shapes_read_whole_words():
+    assert quality._shape("a" * 64 + "123") != quality._shape("a" * 64 + "!!!ZZ")
+
+
+def test_a_repeated_doc_id_is_one_sampled_text(spark):
+    docs = [(1, f"copy number {i} of a long good text") for i in range(500)] + [(i, f"good words {i} here") for i in range(2, 40)] + [(i, f"$$$ BUY {i} NOW") for i in range(40, 80)]
+    labels = [(i, int(i < 40)) for i in range(1, 80)]
+    model = quality.train(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"), sample_rows=30)
+    assert len(model["labels"]) == 60 and sorted(set(model["labels"].tolist())) == [0, 1] and model["labels"].sum() == 30
