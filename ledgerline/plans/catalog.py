@@ -17,6 +17,7 @@ from ledgerline.functions.names import last_path_component, safe_name
 from ledgerline.functions.numeric import nan_to_null, round_half_away
 from ledgerline.operators import clean, dedup, metrics, quality, report
 from ledgerline.operators.fuse import FUSION_ERP_COLUMNS, FUSION_WEB_COLUMNS, fuse
+from ledgerline.operators.increments import IncrementalDedup
 from ledgerline.plans import acceptance, reporting
 from ledgerline.plans import chain as C
 from ledgerline.session import scratch_path
@@ -247,6 +248,35 @@ def q_dedup_web(spark, d):
     return _dirty(spark, d).web_dedup
 
 
+def _in_drops(spark, label, rows, rule, prepare):
+    """``rows`` in five uneven drops, each absorbed by itself: a key's rows are dealt over drops. Jobs at build time."""
+    table = IncrementalDedup(spark, scratch_path(spark, label), rule, prepare)
+    drop = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(16))
+    edges = (0, 8, 9, 11, 12, 16)
+    for low, high in zip(edges, edges[1:], strict=False):
+        table.absorb(rows.filter((drop >= low) & (drop < high)))
+    return table.read()
+
+
+@register("dedup_increments_erp", DIRTY_SQL + "SELECT * FROM erp_dedup")
+def q_dedup_increments_erp(spark, d):
+    """The master rule over five drops landed one after another: the same rows as in one go."""
+    ch = _dirty(spark, d)
+    return _in_drops(spark, "drops-erp", ch.erp_raw, C.dedup_erp, lambda rows: rows.filter(ch.keep_predicates["erp"]))
+
+
+@register("dedup_increments_link", DIRTY_SQL + "SELECT * FROM link_dedup")
+def q_dedup_increments_link(spark, d):
+    ch = _dirty(spark, d)
+    return _in_drops(spark, "drops-link", ch.link_raw, C.dedup_link, lambda rows: rows.filter(ch.keep_predicates["liaison"]))
+
+
+@register("dedup_increments_web", DIRTY_SQL + "SELECT * FROM web_dedup")
+def q_dedup_increments_web(spark, d):
+    ch = _dirty(spark, d)
+    return _in_drops(spark, "drops-web", ch.web_raw, C.dedup_web, lambda rows: rows.filter(ch.keep_predicates["web"]))
+
+
 @register(
     "latest_per_key",
     """SELECT * EXCLUDE (rn) FROM (

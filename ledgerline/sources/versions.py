@@ -37,7 +37,7 @@ def _folder(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
+def children(spark: SparkSession, path: str) -> list[str]:
     where, store = _folder(spark, path)
     return sorted(s.getPath().getName() for s in store.listStatus(where)) if store.exists(where) else []
 
@@ -61,30 +61,43 @@ def _whole(spark: SparkSession, path: str) -> bool:
     return bool(store.exists(where))
 
 
-def history(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """(number, version folder) of every commit that names a complete version, oldest first.
+def commits(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(number, line) of every commit, oldest first. A file that its writer did not finish has no line end; it is skipped."""
+    root = root.rstrip("/")
+    names = [n for n in children(spark, f"{root}/{COMMITS}") if n.isdigit()]
+    lines = [(int(n), _commit_text(spark, root, n)) for n in names]
+    return [(n, line.strip()) for n, line in lines if line.endswith("\n")]
 
-    A commit file that its writer did not finish has no line end; it is skipped, and so is one whose version is gone.
-    """
+
+def last_number(spark: SparkSession, root: str) -> int:
+    """The highest commit number taken, by an unfinished commit too; 0 if none."""
+    return max((int(n) for n in children(spark, f"{root.rstrip('/')}/{COMMITS}") if n.isdigit()), default=0)
+
+
+def last_commit(spark: SparkSession, root: str) -> tuple[int, str]:
+    """(number, line) of the newest finished commit; (0, '') if none. Opens no older one."""
+    root = root.rstrip("/")
+    for name in sorted((n for n in children(spark, f"{root}/{COMMITS}") if n.isdigit()), reverse=True):
+        line = _commit_text(spark, root, name)
+        if line.endswith("\n"):
+            return int(name), line.strip()
+    return 0, ""
+
+
+def history(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(number, version folder) of every commit that names a complete version, oldest first."""
     root = root.rstrip("/")
-    found = []
-    for name in _children(spark, f"{root}/{COMMITS}"):
-        if not name.isdigit():
-            continue
-        text = _commit_text(spark, root, name)
-        if text.endswith("\n") and _whole(spark, f"{root}/{text.strip()}"):
-            found.append((int(name), f"{root}/{text.strip()}"))
-    return found
+    return [(n, f"{root}/{line}") for n, line in commits(spark, root) if _whole(spark, f"{root}/{line}")]
 
 
 def current_path(spark: SparkSession, root: str, version: int | None = None) -> str:
     """Folder of the current version, or of commit ``version``."""
-    commits = history(spark, root)
+    found = history(spark, root)
     if version is not None:
-        commits = [c for c in commits if c[0] == version]
-    if not commits:
+        found = [c for c in found if c[0] == version]
+    if not found:
         raise NoSuchVersion(f"{root}: {'no committed version' if version is None else f'no commit {version}'}")
-    return commits[-1][1]
+    return found[-1][1]
 
 
 def read(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
@@ -92,7 +105,8 @@ def read(spark: SparkSession, root: str, version: int | None = None) -> DataFram
     return spark.read.parquet(current_path(spark, root, version))
 
 
-def _commit(spark: SparkSession, root: str, number: int, version: str) -> None:
+def commit(spark: SparkSession, root: str, number: int, line: str) -> None:
+    """Create commit ``number`` with one line of text; ``CommitConflict`` if another writer has made it."""
     where, store = _folder(spark, f"{root}/{COMMITS}/{number:012d}")
     try:
         stream = store.create(where, False)  # fails if the number is taken
@@ -100,7 +114,7 @@ def _commit(spark: SparkSession, root: str, number: int, version: str) -> None:
         if store.exists(where):
             raise CommitConflict(f"{root}: commit {number} was made by another writer") from error
         raise
-    stream.write(bytearray(f"{version}\n".encode()))
+    stream.write(bytearray(f"{line}\n".encode()))
     stream.close()
 
 
@@ -113,8 +127,7 @@ def replace(df: DataFrame, root: str, write: Callable[[DataFrameWriter, str], No
     ``CommitConflict``; its version is never visible, and ``vacuum`` removes it.
     """
     spark, root = df.sparkSession, root.rstrip("/")
-    taken = [int(n) for n in _children(spark, f"{root}/{COMMITS}") if n.isdigit()]
-    number = (expect if expect is not None else max(taken, default=0)) + 1
+    number = (expect if expect is not None else last_number(spark, root)) + 1
     version = f"v-{uuid.uuid4().hex}"
     path = f"{root}/{version}"
     writer = df.write.mode("errorifexists")
@@ -124,7 +137,7 @@ def replace(df: DataFrame, root: str, write: Callable[[DataFrameWriter, str], No
         write(writer, path)
     if not _whole(spark, path):
         raise PySparkException(f"{path} was written without a success marker")
-    _commit(spark, root, number, version)
+    commit(spark, root, number, version)
     return path
 
 
@@ -137,7 +150,7 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
         raise ValueError("keep at least the current version")
     root = root.rstrip("/")
     kept = {path.rsplit("/", 1)[1] for _, path in history(spark, root)[-keep:]}
-    gone = [n for n in _children(spark, root) if n.startswith("v-") and n not in kept]
+    gone = [n for n in children(spark, root) if n.startswith("v-") and n not in kept]
     for name in gone:
         delete_folder(spark, f"{root}/{name}")
     return gone

@@ -1,5 +1,5 @@
 """Incremental landing of raw CSV drops (Structured Streaming, available-now trigger)."""
 
-from ledgerline.streaming.landing import land_new_files
+from ledgerline.streaming.landing import dedup_new_files, land_new_files
 
-__all__ = ["land_new_files"]
+__all__ = ["dedup_new_files", "land_new_files"]

@@ -32,7 +32,7 @@ def test_a_run_that_dies_between_data_and_commit_leaves_the_old_table(spark, mon
     root = scratch_path(spark, "versions-killed")
     versions.replace(numbers(spark, 1), root)
     with monkeypatch.context() as patch:
-        patch.setattr(versions, "_commit", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        patch.setattr(versions, "commit", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
         with pytest.raises(KeyboardInterrupt):
             versions.replace(numbers(spark, 2), root)
     assert rows(versions.read(spark, root)) == [(1,)]
