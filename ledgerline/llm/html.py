@@ -15,7 +15,7 @@ import html
 import math
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.shared import staged
 
 SAMPLE_PAGES = 300  # pages of the table that are learned from, at most
+SAMPLE_CHARS = 100_000  # code points of such a page, at most
 SMOOTH = 0.05
 
 _TOKEN = re.compile(
@@ -37,15 +38,25 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][\w:.-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"
 _SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
 
 # Fixed values of the HTML language.
-UNSEEN = set("script style template noscript svg math iframe object canvas audio video select option button textarea datalist head title".split())
-RAW = set("script style template noscript iframe textarea title svg math".split())
+UNSEEN = set("annotation annotation-xml script style template noscript svg iframe object canvas audio video select option button textarea datalist head title".split())
+RAW = set("script style template noscript iframe textarea title svg".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark meter output picture progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE |= set("math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul li dt dd".split())
 PARTS = set("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd td th tr table tbody thead blockquote pre figure figcaption".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+P_SCOPE = ("td", "th", "caption")  # a block inside one of these doesn't close a p around it
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
 
+#: Words that name parts of any page: where a name ends in such words, the word before them says what the element holds.
+PART_WORDS = frozenset(
+    "area article bar block body bottom box button card center column container count desktop element facebook first form group head "
+    "heading holder icon image inner instagram item label last leaderboard left linkedin link list logo main media mobile module more new outer "
+    "page panel part pinterest post primary product reading rectangle right row secondary section signup skyscraper slot spot story storie tab text this "
+    "thread title toggle tool top topic twitter unit up us video whatsapp widget wrap wrapper youtube zone".split()
+)
+
 
 class Page:
     """Nodes of a page in document order: ``parent[i] < i``; a node with text is a leaf."""
@@ -57,6 +68,9 @@ class Page:
         self.features: list[list[str]] = [[]]
         self.text: list[str | None] = [None]
         stack: list[tuple[str, int]] = [("#root", 0)]  # open elements that form blocks
+        places: defaultdict[str, list[int]] = defaultdict(list)  # where in the stack each name is open
+        lists: defaultdict[int, list[int]] = defaultdict(lambda: [0] * 4)  # texts, words, characters and linked ones of a list
+        endless: set[str] = set()  # names without a closing tag in the rest of the page
         run: list[str] = []
         link = linked = 0
         at, size = 0, len(source)
@@ -66,9 +80,23 @@ class Page:
             text = " ".join(html.unescape("".join(run)).split())
             run.clear()
             if text:
-                self._add(stack[-1][1], "#text", self._measures(text, linked), text)
+                at_list = nearest(("ul", "ol"))
+                if places["li"] and nearest(("li",)) > at_list > 0:  # items are alike: their list is measured once
+                    self._add(stack[-1][1], "#text", [], text)
+                    sums = lists[stack[at_list][1]]
+                    for i, n in enumerate((1, text.count(" ") + 1, len(text), min(linked, len(text)))):
+                        sums[i] += n
+                else:
+                    self._add(stack[-1][1], "#text", self._measures(text, linked), text)
             linked = 0
 
+        def nearest(names: Iterable[str]) -> int:
+            return max((places[n][-1] for n in names if places[n]), default=0)
+
+        def cut(height: int) -> None:
+            while len(stack) > height:
+                places[stack.pop()[0]].pop()
+
         while at < size:
             token = _TOKEN.search(source, at)
             end = token.start() if token else size
@@ -86,11 +114,9 @@ class Page:
                     link = 0
                 elif close in INLINE:
                     pass
-                elif any(name == close for name, _ in stack):
+                elif places[close]:
                     flush()
-                    while stack[-1][0] != close:
-                        stack.pop()
-                    stack.pop()
+                    cut(places[close][-1])
                 elif close == "p":
                     flush()
                 continue
@@ -108,29 +134,27 @@ class Page:
                     if tag == "head":
                         stop = re.compile(r"</head\s*>|<body\b", re.I).search(source, at)
                         at = (stop.end() if stop[0][1] == "/" else stop.start()) if stop else at
-                    else:
-                        stop = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, at)
+                    elif tag not in endless or tag in RAW:
+                        stop = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(source, at)
+                        if not stop:
+                            endless.add(tag)
                         at = stop.end() if stop else size if tag in RAW else at
                 if tag not in INLINE:
                     run.append(" ")
                 continue
             flush()
             link = 0
-            if tag in CLOSES_P and any(name == "p" for name, _ in stack[-4:]):
-                while stack[-1][0] != "p":
-                    stack.pop()
-                stack.pop()
-            if tag in CLOSED_BY:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in SCOPE[tag]:
-                        break
-                    if stack[i][0] in CLOSED_BY[tag]:
-                        del stack[i:]
-                        break
+            if tag in CLOSES_P and nearest(("p",)) > nearest(P_SCOPE):
+                cut(nearest(("p",)))
+            if tag in CLOSED_BY and nearest(CLOSED_BY[tag]) > nearest(SCOPE[tag]):
+                cut(nearest(CLOSED_BY[tag]))
             if tag in VOID or tag in ("html", "body"):
                 continue
+            places[tag].append(len(stack))
             stack.append((tag, self._add(stack[-1][1], tag, self._names(tag, token[3] or token[5] or ""), None)))
         flush()
+        for i, (texts, words, chars, links) in lists.items():
+            self.features[i] = [*self.features[i], f"items:{min((words // texts).bit_length(), 5)}", f"menu:{round(links / chars * 3)}"]
 
     def _add(self, parent: int, kind: str, features: list[str], text: str | None) -> int:
         self.parent.append(parent)
@@ -141,13 +165,14 @@ class Page:
 
     @staticmethod
     def _names(tag: str, attributes: str) -> list[str]:
-        out = {f"tag:{tag}"}
+        out = set() if tag == "li" else {f"tag:{tag}"}
         if attributes.strip():
             for name, value in _ATTRIBUTE.findall(attributes):
                 name = name.lower()
                 if name in ("class", "id", "role", "itemprop", "aria-label"):
-                    words = _SPLIT.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower())
-                    out |= {f"name:{w.removesuffix('s')}" for w in words if len(w) > 1}
+                    for single in [value] if name == "aria-label" else value.split():
+                        words = _SPLIT.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", single).lower())
+                        out |= {f"name:{w}" for w in _telling([w.removesuffix("s") for w in words if len(w) > 1])}
                 elif name == "hidden" or name == "aria-hidden" and "true" in value or name == "style" and re.search(r"display\s*:\s*none", value):
                     out.add("name:hidden")
         return sorted(out)
@@ -159,6 +184,17 @@ class Page:
         return [f"words:{min(words.bit_length(), 7)}", f"linked:{round(share * 3)}", f"ends:{text[-1] in '.!?…»”\"'}"]
 
 
+def _telling(words: list[str]) -> list[str]:
+    """The word of a name that says what its element holds: the last that isn't a part word, or else the first.
+
+    ``share-price`` is a price and ``comment-on-war`` a war; ``share-buttons`` is a share, ``site-header`` a header.
+    """
+    at = len(words) - 1
+    while at > 0 and words[at] in PART_WORDS:
+        at -= 1
+    return words[max(at, 0) : at + 1]
+
+
 def _role(kind: str) -> str:
     """Which potential joins a node to its parent: text runs, parts of a text, and boxes around them."""
     return "text" if kind == "#text" else "part" if kind in PARTS else "box"
@@ -252,7 +288,7 @@ def labelled_patterns(pages: int = 600, seed: int = 3) -> Iterator[tuple[Page, C
     def piece(where: str) -> str:
         pattern, *names = r.choice(around[where]).split("|")
         name = r.choice(names) if names else ""
-        filled = pattern.replace("{t}", sentence(r.randint(1, 40))).replace("{l}", sentence(r.randint(2, 90))).replace("{h}", words(r.randint(1, 4))).replace("{u}", links(r.randint(2, 8)))
+        filled = pattern.replace("{t}", sentence(r.randint(1, 40))[: None if r.random() < 0.7 else -1]).replace("{l}", sentence(r.randint(2, 90))).replace("{h}", words(r.randint(1, 4))).replace("{u}", links(r.randint(2, 8)))
         return filled.replace("{}", name)
 
     for _ in range(pages):
@@ -260,6 +296,8 @@ def labelled_patterns(pages: int = 600, seed: int = 3) -> Iterator[tuple[Page, C
 
         def paragraph(tag: str, n: int, keep: list[str] = content) -> str:
             text = sentence(n)
+            if r.random() < {"p": 0.12, "pre": 0.5}.get(tag, 0.6):  # headings and items seldom end as sentences do
+                text = text[:-1]
             keep.append(text)
             return f"<{tag}>{text}</{tag}>"
 
@@ -272,8 +310,12 @@ def labelled_patterns(pages: int = 600, seed: int = 3) -> Iterator[tuple[Page, C
                 body.append(paragraph("p", r.choice((1, 2, 5, 12, 30, 60, 120))))
             elif x < 0.82:
                 body.append(paragraph(r.choice(("h2", "h3")), r.randint(1, 7)))
-            elif x < 0.88:
-                body.append("<ul>" + "".join(paragraph("li", r.randint(1, 12)) for _ in range(r.randint(2, 4))) + "</ul>")
+            elif x < 0.85:
+                items = [words(r.randint(1, 6)) for _ in range(r.randint(2, 6))]
+                content += items
+                body.append("<ul>" + "".join(f"<li><a href='/{i}'>{t}</a></li>" for i, t in enumerate(items)) + "</ul>")
+            elif x < 0.89:
+                body.append("<ul>" + "".join(paragraph("li", r.choice((1, 3, 6, 12, 25, 50))) for _ in range(r.randint(2, 4))) + "</ul>")
             elif x < 0.92:
                 body.append("<blockquote>" + paragraph("p", r.randint(6, 30)) + "</blockquote>")
             elif x < 0.95:
@@ -327,19 +369,26 @@ def labelled_by_article(source: str, patterns: Model) -> tuple[Page, Counter] |
 
 
 def train(pages: DataFrame | None = None, sample_pages: int = SAMPLE_PAGES) -> Model:
-    """Fit on the patterns and on at most ``sample_pages`` pages with one ``article`` element (smallest hash of page_id)."""
+    """Fit on the patterns and on at most ``sample_pages`` pages with one ``article`` element (smallest hash of page_id).
+
+    Pages of more than ``SAMPLE_CHARS`` code points teach nothing; together the two bound what the driver holds.
+    """
     labelled = list(labelled_patterns())
     if pages is not None:
-        named = pages.filter(F.contains(F.lower("html"), F.lit("<article"))).select("page_id").filter("page_id is not null")
+        short = pages.filter(F.length("html") <= SAMPLE_CHARS)
+        named = short.filter(F.contains(F.lower("html"), F.lit("<article"))).select("page_id").filter("page_id is not null")
         chosen = staged(named.distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages), "html-sample")
-        rows = pages.select("page_id", "html").join(chosen, "page_id").select("html").limit(sample_pages).collect()
+        rows = short.select("page_id", "html").join(chosen, "page_id").select("html").limit(sample_pages).collect()
         patterns = Model(labelled)
         labelled += [x for x in (labelled_by_article(source, patterns) for source in sorted(r.html for r in rows)) if x]
     return Model(labelled)
 
 
 def extract(pages: DataFrame, model: Model, source: str = "html", name: str = "text") -> DataFrame:
-    """``pages`` with the main text of each page; empty for a null or empty page and for one without content."""
+    """``pages`` with the main text of each page; empty for a null or empty page and for one without content.
+
+    The text becomes the column ``name``, in place of an input column of that name.
+    """
     shared = pages.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))  # bounded: one number per feature of the sample
 
     @F.arrow_udf("string")

@@ -88,3 +88,65 @@ def test_query_rows(spark):
     assert sorted((str(r.page_id), r.text) for r in found) == [("1", rows[0][2][12:-14]), ("2", ""), ("2", ""), ("None", ""), ("None", "")]
     assert html.extract(pages.limit(0), MODEL).collect() == []
     assert html.train(pages.limit(0))
+
+
+TEXT = "The river ran past the stone for many years, and people who lived there wrote of it often."
+
+
+@pytest.mark.parametrize("name", ["share-price", "comment-on-war", "social-history", "notice-period", "ad-hoc-networks", "hiddenGem", "menu-prices-of-1900"])
+@pytest.mark.parametrize("shape", ["<div class='{}'><p>{}</p></div>", "<section id='{}'><p>{}</p></section>", "<p class='{}'>{}</p>"])
+def test_names_that_merely_contain_a_listed_word_lose_no_text(name, shape):
+    page = f"<header><a href=/>Home</a></header><article><h1>Head</h1><p>{TEXT}</p>{shape.format(name, TEXT)}<p>{TEXT}</p></article><footer>Legal.</footer>"
+    assert MODEL.extract(page) == f"Head\n{TEXT}\n{TEXT}\n{TEXT}"
+
+
+@pytest.mark.parametrize("name", ["share-buttons", "site-ad-slot", "reader-comments", "comment-list", "related-posts", "newsletter-signup", "cookieNotice", "sidebar-left"])
+def test_names_that_say_so_set_their_element_apart(name):
+    page = f"<article><h1>Head</h1><p>{TEXT}</p><div class='{name}'><p>{TEXT}</p></div><p>{TEXT}</p></article><footer>Legal.</footer>"
+    assert MODEL.extract(page) == f"Head\n{TEXT}\n{TEXT}"
+
+
+def test_a_whole_article_in_a_box_with_an_odd_name():
+    page = f"<header><a href=/>Home</a></header><main><div id='comment-on-war'><h1>On war</h1><p>{TEXT}</p><p>{TEXT}</p></div></main><footer>Legal.</footer>"
+    assert MODEL.extract(page) == f"On war\n{TEXT}\n{TEXT}"
+
+
+def test_formulas_and_link_lists_of_the_article_stay():
+    page = f"""<nav><ul><li><a href=/a>Alpha</a></li><li><a href=/b>Beta</a></li></ul></nav><article><h1>Head</h1><p>{TEXT}</p>
+    <p>The sum <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation encoding="tex">x+1</annotation></math> is known to all of them.</p>
+    <ul><li><a href=/1>First paper on rivers</a></li><li><a href=/2>Second paper on stones</a></li></ul><p>{TEXT}</p></article>
+    <aside><ul><li><a href=/3>Other river things</a></li><li><a href=/4>Other stone things</a></li></ul></aside>"""
+    assert MODEL.extract(page) == f"Head\n{TEXT}\nThe sum x+1 is known to all of them.\nFirst paper on rivers\nSecond paper on stones\n{TEXT}"
+
+
+@pytest.mark.parametrize("n", [4, 15, 40])
+def test_lists_of_any_item_length_and_unpunctuated_blocks_stay(n):
+    items = [f"Item {i} " + "river stone " * n for i in range(4)]
+    listed = "".join(f"<li>{t}</li>" for t in items)
+    page = f"<header><a href=/>Home</a></header><article><h2>Head</h2><ol>{listed}</ol><p>{'alpha ' * n}</p></article><footer>Legal.</footer>"
+    assert MODEL.extract(page) == "\n".join(["Head", *(t.strip() for t in items), ("alpha " * n).strip()])
+
+
+def test_blocks_close_what_the_language_says():
+    page = html.Page("<div><p>a<section>b</section></div><table><tr><td>c<td>d<tr><td><p>e<div>f</div></td></tr></table><ul><li>g<ul><li>h</ul><li>i</ul>")
+    kinds = {t: page.kind[page.parent[i]] for i, t in enumerate(page.text) if t}
+    assert kinds == {"a": "p", "b": "section", "c": "td", "d": "td", "e": "p", "f": "div", "g": "li", "h": "li", "i": "li"}
+
+
+def test_nested_and_stray_tags_cost_linear_time():
+    import time
+
+    def seconds(n):
+        begin = time.process_time()
+        html.Page("<div>" * n + "x" + "</section></b></p>" * n + "<select>" * n)
+        html.Page("<p><td>" + "<div>" * n)
+        return time.process_time() - begin
+
+    seconds(500)
+    assert seconds(24_000) < 40 * max(seconds(3_000), 0.01)
+
+
+def test_long_pages_and_a_text_column_of_the_input(spark):
+    pages = spark.createDataFrame([(1, f"<article><p>{TEXT}</p></article>", "old"), (2, "<article><p>" + "word " * 30_000 + "</p></article>", "old")], "page_id long, html string, text string")
+    got = {r.page_id: r.text for r in html.extract(pages, html.train(pages)).collect()}
+    assert got == {1: TEXT, 2: ("word " * 30_000).strip()}
