@@ -12,7 +12,12 @@ Nothing that grows with the corpus is broadcast or gathered. Texts become packed
 2. The discounts need only the numbers of n-grams seen once, twice, ...: one row per order.
 3. With its answers a block scores every token but for the backoff weights. For each history it adds up whole numbers
    (how many followers it is the first to list, by count class) and sends them with its requests to the history's
-   bucket, where the sums give the exact weight, and each request becomes an addend of its document's score.
+   bucket, where the sums give the exact weight (kept as ``part=model`` of the weights table), and each request becomes
+   an addend of its document's score.
+
+``fit`` returns the stored model: counts, backoff weights and the statistics of the discounts, in tables by order and
+bucket. ``Stored.score`` evaluates another corpus from those tables alone: each block asks for the counts of its n-grams
+and the weights of its histories, and a token takes the highest order that was seen, else the weight times the order below.
 
 N-grams are known by 48 bits of a 64-bit hash within a bucket chosen by the other bits.
 """
@@ -20,15 +25,16 @@ N-grams are known by 48 bits of a 64-bit hash within a bucket chosen by the othe
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.shared import bucket_count, staged
+from ledgerline.llm.shared import bucket_count, plan_bytes, staged
 from ledgerline.llm.substr import pack_ints, unpack_ints
 from ledgerline.llm.text import bounded, hash_words, mix64, word_block
 
@@ -292,7 +298,14 @@ def backoff(pairs: np.ndarray, count: np.ndarray, s: Statistics) -> tuple[np.nda
     return left / (1.0 - lower / s.n1), spare
 
 
+WEIGHED = "part string, bucket int, keys binary, weights binary, spare binary, block long, doc_row int, addend double"
+
+
 def _weigh(s: Statistics):
+    """Backoff weights of a bucket's histories (one row of part ``model``) and the addends of the documents that asked for them."""
+    names = [x.split()[0] for x in WEIGHED.split(", ")]
+    kinds = [pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.float64()]
+
     def run(table: pa.Table) -> pa.Table:
         keys, pairs, counts = [np.empty(0, np.uint64)], [np.zeros((2 * (K + 1), 0), np.int64)], [np.empty(0, np.int64)]
         blocks, asks, docs, unseen, seen = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.uint32)], [np.empty(0, np.uint32)], [np.empty(0, np.uint32)]
@@ -310,41 +323,163 @@ def _weigh(s: Statistics):
         count = np.zeros(len(distinct), np.int64)
         count[at] = np.concatenate(counts)
         weight, spare = backoff(added, count, s)
+        model = pa.table([pa.array([x], t) for x, t in zip(("model", table.column("bucket")[0].as_py(), _pack_keys(distinct), weight.tobytes(), np.packbits(spare.astype(bool)).tobytes(), None, None, None), kinds, strict=True)], names=names)
         block, ask, doc, unseen, seen = (np.concatenate(x) for x in (blocks, asks, docs, unseen, seen))
         if not len(ask):
-            return pa.table({"block": pa.array([], pa.int64()), "doc_row": pa.array([], pa.int32()), "addend": pa.array([], pa.float64())})
+            return model
         i = np.searchsorted(distinct, ask)  # a history that training saw was listed by some block
         addend = unseen * np.log10(weight[i]) + np.where(spare[i] > 0, seen * np.log10(count[i] / (count[i] + 1)), 0.0)
         pair = np.stack([block, doc.astype(np.int64)])
         order = np.lexsort(pair[::-1])
         pair, addend = pair[:, order], addend[order]
         begin = np.flatnonzero(np.concatenate([[True], (np.diff(pair) != 0).any(axis=0)]))
-        return pa.table({"block": pa.array(pair[0, begin]), "doc_row": pa.array(pair[1, begin].astype(np.int32)), "addend": pa.array(np.add.reduceat(addend, begin))})
+        n, none = len(begin), [None] * len(begin)
+        columns = [["addend"] * n, none, none, none, none, pair[0, begin], pair[1, begin], np.add.reduceat(addend, begin)]
+        return pa.concat_tables([model, pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)])
 
     return run
 
 
-def score(docs: DataFrame, held_out: str) -> DataFrame:
-    """Train on the rows where the SQL condition ``held_out`` is false, and score every text (a null text is empty).
+def _answer(wanted: pa.Table, known: pa.Table) -> pa.Table:
+    """For each block's keys of one order and bucket: counts, and for single words the backoff weight and spare token as histories."""
+    grams, buckets, blocks = (wanted.column(c).to_pylist() for c in ("gram", "bucket", "block"))
+    found = known.to_pylist()
+    keys, counts = (_unpack_keys(found[0]["keys"]), unpack_ints(found[0]["counts"], np.uint64)) if found else (np.empty(0, np.uint64), np.empty(0, np.uint64))
+    history, weight, spare = np.empty(0, np.uint64), np.empty(0), np.empty(0, np.uint8)
+    if found and found[0]["weights"] is not None:
+        history, weight = _unpack_keys(found[0]["histories"]), np.frombuffer(found[0]["weights"])
+        spare = np.unpackbits(np.frombuffer(found[0]["spare"], np.uint8), count=len(history))
 
-    Returns ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one unigram) and
-    ``score`` (log10 probability of the words and the end). Rows whose condition is null teach nothing. Rows that
-    repeat a doc_id are scored each by its own text.
-    """
+    def look(ask: np.ndarray, have: np.ndarray, values: np.ndarray, otherwise: float) -> np.ndarray:
+        if not len(have):
+            return np.full(len(ask), otherwise, values.dtype)
+        i = np.minimum(np.searchsorted(have, ask), len(have) - 1)
+        return np.where(have[i] == ask, values[i], np.array(otherwise, values.dtype))
+
+    told: list[tuple] = []
+    for packed in wanted.column("keys"):
+        ask = _unpack_keys(packed.as_py())
+        bits = np.packbits(look(ask, history, spare, 0)).tobytes()
+        told.append((pack_ints(look(ask, keys, counts, 0)), look(ask, history, weight, 1.0).tobytes(), bits))
+    columns = [blocks, grams, buckets, *(zip(*told, strict=True) if told else [[]] * 3)]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 3]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["block", "gram", "bucket", "counts", "weights", "spare"])
+
+
+EVALUATED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+
+
+def _evaluate(buckets: int, s: Statistics):
+    names = [x.split()[0] for x in EVALUATED.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+
+    def run(blocks: pa.Table, replies: pa.Table) -> pa.Table:
+        if not blocks.num_rows:
+            return pa.table([pa.array([], t) for t in kinds], names=names)
+        b = Block(blocks.to_pylist()[0], buckets)
+        count, weight, spare = {1: [np.empty(0, np.uint64)], 2: [np.empty(0, np.uint64)]}, [np.empty(0)], [np.empty(0, np.uint8)]
+        for row in replies.sort_by([("gram", "ascending"), ("bucket", "ascending")]).to_pylist():
+            count[row["gram"]].append(unpack_ints(row["counts"], np.uint64))
+            if row["gram"] == 1:
+                weight.append(np.frombuffer(row["weights"]))
+                spare.append(np.unpackbits(np.frombuffer(row["spare"], np.uint8), count=len(weight[-1])))
+        c1, c2 = (np.concatenate(count[g]).astype(np.int64) for g in (1, 2))
+        weight, spare = np.concatenate(weight), np.concatenate(spare)
+        token = np.flatnonzero(b.real)
+        word, history, text = b.at[1][token], b.at[1][token - 1], b.row[token]
+        n1, n2, nh = c1[word], c2[b.at[2]], c1[history]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            below = np.where(n1 > 0, np.log10(s.d1[_class(n1)] * n1 / s.n1), np.log10(s.unknown))
+            own = np.log10(s.d2[_class(n2)] * n2 / (nh + spare[history]))
+        p = np.where(n2 > 0, own, below + np.where(nh > 0, np.log10(weight[history]), 0.0))
+        base = np.log10((n1 + 1) / (s.tokens + s.types + 1))
+        columns = [b.doc_id, b.tokens, np.bincount(text, n1 > 0, b.texts), np.bincount(text, base, b.texts), np.bincount(text, p, b.texts)]
+        return pa.table([pa.array(c).cast(t) for c, t in zip(columns, kinds, strict=True)], names=names)
+
+    return run
+
+
+def _blocked(docs: DataFrame, held_out: str) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.expr(held_out).alias("held_out"), F.col("text").cast("string").alias("text"))
-    buckets = bucket_count(docs, BUCKET_BYTES)
-    blocks = staged(rows.mapInArrow(_blocks, "block long, doc_id array<long>, held_out array<boolean>, starts binary, codes binary, words binary"), "lm-blocks")
-    asked = blocks.mapInArrow(_requests(buckets), "bucket int, gram int, block long, keys binary, counts binary")
+    return staged(rows.mapInArrow(_blocks, "block long, doc_id array<long>, held_out array<boolean>, starts binary, codes binary, words binary"), "lm-blocks")
+
+
+ASKED = "bucket int, gram int, block long, keys binary, counts binary"
+
+
+@dataclass
+class Stored:
+    """A fitted model. ``counts``: gram, bucket, types, tokens, often, keys, counts. ``weights``: bucket, keys, weights, spare."""
+
+    counts: DataFrame
+    weights: DataFrame
+    buckets: int
+
+    def statistics(self) -> Statistics:
+        often = F.array(*[F.sum(F.element_at("often", r)) for r in range(1, K + 2)]).alias("often")
+        return Statistics(self.counts.groupBy("gram").agg(F.sum("types").alias("types"), F.sum("tokens").alias("tokens"), often).collect())
+
+    def save(self, path: str) -> None:
+        """Write the tables below ``path`` (which must be new), counts by order, and last the number of buckets."""
+        self.counts.write.partitionBy("gram").parquet(f"{path}/counts")
+        self.weights.write.parquet(f"{path}/weights")
+        self.counts.sparkSession.range(1).select(F.lit(self.buckets).alias("buckets")).write.parquet(f"{path}/buckets")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Stored:
+        buckets = spark.read.parquet(f"{path}/buckets").first().buckets
+        counts = "bucket int, types long, tokens long, often array<long>, keys binary, counts binary, gram int"
+        return Stored(spark.read.schema(counts).parquet(f"{path}/counts"), spark.read.schema("bucket int, keys binary, weights binary, spare binary").parquet(f"{path}/weights"), buckets)
+
+    def score(self, docs: DataFrame) -> DataFrame:
+        """``doc_id``, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` of every text (a null text is empty).
+
+        A bucket's requests are dealt over as many tasks as the texts are larger than the model's buckets allow.
+        """
+        statistics = self.statistics()
+        blocks = _blocked(docs, "true")
+        deals = max(1, -(-2 * plan_bytes(blocks) // (self.buckets * BUCKET_BYTES)))  # packed blocks are about half their texts
+        asked = blocks.mapInArrow(_requests(self.buckets), ASKED).withColumn("deal", F.pmod("block", F.lit(deals)))
+        weights = self.weights.select(F.lit(1).alias("gram"), "bucket", F.col("keys").alias("histories"), "weights", "spare")
+        known = self.counts.select("gram", "bucket", "keys", "counts").join(weights, ["gram", "bucket"], "left")
+        known = known.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(deals - 1).cast("long"))))
+        group = ["gram", "bucket", "deal"]
+        answers = asked.groupBy(*group).cogroup(known.groupBy(*group)).applyInArrow(_answer, "block long, gram int, bucket int, counts binary, weights binary, spare binary")
+        return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_evaluate(self.buckets, statistics), EVALUATED)
+
+
+def _learn(docs: DataFrame, held_out: str) -> tuple[Stored, Statistics, DataFrame, DataFrame]:
+    """The model, its statistics, and the scores but for backoff weights with the addends that they lack."""
+    blocks = _blocked(docs, held_out)
+    # the second figure is the smaller one only where Spark has no size of ``docs``, such as for rows from the driver
+    buckets = min(bucket_count(docs, BUCKET_BYTES), bucket_count(blocks, BUCKET_BYTES // 4))
+    asked = blocks.mapInArrow(_requests(buckets), ASKED)
     counted = staged(asked.groupBy("gram", "bucket").applyInArrow(_count(buckets), COUNTED), "lm-counts", ["part"])
-    model = counted.filter("part = 'model'")
-    often = F.array(*[F.sum(F.element_at("often", r)) for r in range(1, K + 2)]).alias("often")
-    statistics = Statistics(model.groupBy("gram").agg(F.sum("types").alias("types"), F.sum("tokens").alias("tokens"), often).collect())
+    counts = counted.filter("part = 'model'").select("gram", "bucket", "types", "tokens", "often", "keys", "counts")
+    statistics = Stored(counts, counts, buckets).statistics()
     replies = counted.filter("part = 'reply'").select("block", "gram", "bucket", "counts", "mine")
     partial = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_score(buckets, statistics), PARTIAL)
     partial = staged(partial, "lm-partial", ["part"])
-    weighed = partial.filter("part = 'sum'").groupBy("bucket").applyInArrow(_weigh(statistics), "block long, doc_row int, addend double")
-    addends = weighed.groupBy("block", "doc_row").agg(F.sum("addend").alias("addend"))
-    scored = partial.filter("part = 'doc'").select("block", "doc_row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
+    weighed = staged(partial.filter("part = 'sum'").groupBy("bucket").applyInArrow(_weigh(statistics), WEIGHED), "lm-weights", ["part"])
+    weights = weighed.filter("part = 'model'").select("bucket", "keys", "weights", "spare")
+    addends = weighed.filter("part = 'addend'").groupBy("block", "doc_row").agg(F.sum("addend").alias("addend"))
+    return Stored(counts, weights, buckets), statistics, partial.filter("part = 'doc'"), addends
+
+
+def fit(docs: DataFrame, held_out: str = "false") -> Stored:
+    """Train on the rows where the SQL condition ``held_out`` is false. The tables lie in the scratch folder until saved."""
+    return _learn(docs, held_out)[0]
+
+
+def score(docs: DataFrame, held_out: str) -> DataFrame:
+    """Train on the rows where the SQL condition ``held_out`` is false, and score every text (a null text is empty).
+
+    Returns ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one unigram) and
+    ``score`` (log10 probability of the words and the end). A-Z are lower-cased. Rows whose condition is null teach
+    nothing. Rows that repeat a doc_id are scored each by its own text.
+    """
+    _, statistics, partial, addends = _learn(docs, held_out)
+    scored = partial.select("block", "doc_row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
     both = scored.join(addends, ["block", "doc_row"], "left")
     return both.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(statistics.tokens).cast("long").alias("train_tokens"), "base_score",

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import lm
 
@@ -74,6 +75,45 @@ def test_small_blocks_give_the_same(docs, monkeypatch):
         assert a[:5] == b[:5] and a.score == pytest.approx(b.score, rel=1e-9)
 
 
+def test_stored_model_scores_the_same_and_another_corpus(spark, docs, rows, no_docs, tmp_path):
+    want, _ = brute(rows)
+    key = lambda r: (str(r[0]), r[1], r[3])
+    stored = lm.fit(docs, HELD)
+    stored.save(f"file:{tmp_path}/model")
+    read = lm.Stored.load(spark, f"file:{tmp_path}/model")
+    for model in (stored, read):
+        got = sorted((tuple(r) for r in model.score(docs.withColumn("score", F.lit("x")).repartition(3)).collect()), key=key)
+        assert len(got) == len(want)
+        for a, b in zip(got, sorted(((d, t, k, base, s) for d, _, t, k, _, base, s in want), key=key), strict=True):
+            assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-9, abs=1e-9)
+    # texts that training never saw, scored with the rows that taught: crc32 of these ids leaves no remainder of 2
+    others = [i for i in range(10_000, 10_100) if zlib.crc32(str(i).encode()) % 7 == 2]
+    texts = ["", "never SEEN words", (rows[0][1] or "a") + " unknown", " ".join((r[1] or "")[:40] for r in rows[:9]), "x " * 3000, None]
+    new = list(zip(others, texts, strict=False))
+    want = {r[0]: r for r in brute([(r[0], r[1]) for r in rows] + new)[0]}
+    for r in read.score(spark.createDataFrame(new, "doc_id long, text string")).collect():
+        b = want[r.doc_id]
+        assert (r.n_tokens, r.n_known) == (b[2], b[3]) and (r.base_score, r.score) == pytest.approx(b[5:], rel=1e-9)
+    assert read.score(no_docs).collect() == []
+
+
+def test_weights_are_stored_once_a_history_and_dealt_requests_change_nothing(docs, rows, monkeypatch):
+    stored = lm.fit(docs, HELD)
+    _, masses = brute(rows)
+    sizes = [len(np.frombuffer(r.weights)) for r in stored.weights.collect()]
+    assert sum(sizes) == len(masses) - 1
+    one = sorted(map(tuple, stored.score(docs).collect()), key=str)
+    monkeypatch.setattr(lm, "plan_bytes", lambda _: 5 * stored.buckets * lm.BUCKET_BYTES)
+    two = sorted(map(tuple, stored.score(docs).collect()), key=str)
+    for a, b in zip(one, two, strict=True):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-9)
+
+
+def test_a_stored_model_of_nothing(docs):
+    got = lm.fit(docs, "true").score(docs).collect()
+    assert {r.score for r in got} == {0.0} and {r.n_known for r in got} == {0}
+
+
 def test_nothing_to_learn_from_and_empty_table(docs, no_docs):
     got = lm.score(docs, "true").collect()
     assert {r.train_tokens for r in got} == {0} and {r.n_known for r in got} == {0} and {r.score for r in got} == {0.0}
