@@ -27,6 +27,7 @@ from ledgerline.llm.shared import staged
 
 ORDER = 3
 SAMPLE_ROWS = 400  # training texts of a language, at most
+SAMPLE_CHARS = 100_000  # code points of a training text, at most
 CHUNK = 1 << 20  # bytes scored at once
 START = b"\n" * ORDER
 
@@ -137,18 +138,22 @@ class Model:
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on at most ``sample_rows`` texts of each language (those with the smallest hash of their doc_id).
 
-    ``docs``: ``doc_id``, ``text``, ``lang``; rows without a language or text teach nothing.
+    ``docs``: ``doc_id``, ``text``, ``lang``; rows without a language or text, and texts of more than ``SAMPLE_CHARS`` code
+    points, teach nothing. A doc_id that repeats is one entry of the sample and teaches one text (smallest hash).
     """
-    usable = docs.filter("lang is not null and text is not null and doc_id is not null").select("doc_id", "lang")
+    rows = docs.filter("lang is not null and text is not null and doc_id is not null").select("doc_id", "lang", F.col("text").cast("string").alias("text"))
+    usable = rows.filter(F.length("text") <= SAMPLE_CHARS)
+    # every task keeps its own first rows of a language (WindowGroupLimit), so no task sorts a whole language
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = staged(usable.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_rows).select("doc_id", "lang").distinct(), "langid-sample")
-    texts = docs.filter("text is not null").select("doc_id", "lang", F.lower(F.col("text").cast("string")).alias("text")).join(chosen, ["doc_id", "lang"])
-    fitted = texts.select("lang", "text").groupBy("lang").applyInArrow(_fit, "lang string, grams binary")
+    distinct = usable.select("doc_id", "lang").distinct()
+    chosen = staged(distinct.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_rows).select("doc_id", "lang"), "langid-sample")
+    texts = usable.join(chosen, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first"))
+    fitted = texts.select("lang", F.lower("first.text").alias("text")).groupBy("lang").applyInArrow(_fit, "lang string, grams binary")
     return Model({r.lang: pickle.loads(r.grams) for r in fitted.collect()})
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``language``: ``lang_pred`` and ``score``.
+    """``docs`` with a struct column ``language`` (in place of an input column of that name): ``lang_pred`` and ``score``.
 
     ``lang_pred`` is the language with the shortest code (the first in name order on a tie), ``score`` its posterior
     probability under equal priors. A text that is null or has no letter is ``und`` with score 0, as is every text if

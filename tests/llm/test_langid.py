@@ -81,3 +81,15 @@ def test_nothing_learned_and_empty_table(docs, no_docs):
     model = langid.train(no_docs)
     assert {r.language.lang_pred for r in langid.identify(docs, model).collect()} == {"und"}
     assert langid.identify(no_docs, model).collect() == []
+
+
+def test_a_doc_id_that_repeats_is_one_entry_of_the_sample(spark, monkeypatch):
+    r = random.Random(6)
+    rows = [(i, text(r, "aa", 40), "aa") for i in range(60)] + [(1000, text(r, "aa", 20), "aa") for _ in range(500)] + [(2000 + i, "zz " * 60_000, "aa") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    fitted = []
+    monkeypatch.setattr(langid, "Model", lambda by: fitted.append(by))
+    langid.train(docs, 61)
+    langid.train(docs.filter("doc_id < 1000"), 60)
+    own, less = (int(f["aa"][0][1].sum()) for f in fitted)  # bytes counted
+    assert 0 < own - less < 2 * max(len(t) for i, t, _ in rows if i == 1000)  # one of the 500 texts, none of the long ones
