@@ -6,9 +6,10 @@
 * How many leaves to visit is calibrated: for a bounded set of calibration queries the exact neighbours are found by a
   scan of all rows, and visits widen until the target share of those neighbours lies in the visited leaves. A query
   goes on beyond that until its leaves hold enough rows.
-* Queries meet the rows of a leaf in cells (leaf, part of its rows, part of its queries) of bounded size, so a crowded
-  leaf is many tasks. Equal vectors are one entry with their smallest ids, so copies neither crowd a leaf nor multiply
-  comparisons.
+* Neighbouring leaves form a shard. A query goes to a shard once, with the list of the leaves that it visits there, and
+  one short list of its best rows comes back, however many leaves it visited. Queries and rows of a shard meet in cells
+  (shard, part of its rows, part of its queries) of bounded size, so a crowded shard or leaf is many tasks. Equal
+  vectors are one entry with their smallest ids, so copies neither crowd a leaf nor multiply comparisons.
 """
 
 from __future__ import annotations
@@ -31,7 +32,10 @@ BRANCHES = 8
 LEAF_ROWS = 48  # sample vectors in a leaf, about
 CALIBRATION = 256  # calibration queries, at most
 TARGET = 0.96  # share of their exact neighbours that the visited leaves must hold
-CELL_ROWS, CELL_QUERIES = 8192, 4096
+SHARDS = 32  # groups of neighbouring leaves; a crowded one is cut into parts
+CELL_VALUES, CELL_QUERIES = 1 << 22, 4096  # components of the rows of a cell, and its queries
+BLOCK = 1 << 21  # products held at a time
+WALK_QUERIES = 256  # queries that a task walks through the tree
 MARGIN = 1e-12  # of a blocked product of unit vectors; its rounding error is far smaller
 PAIRS = 1 << 16  # exact cosines computed at a time
 
@@ -98,6 +102,10 @@ class Tree:
             todo += [(child, rows[near == i]) for i, child in enumerate(children) if (near == i).any()]
         return out
 
+    def shard(self, leaf: int) -> int:
+        """Leaves are numbered depth first, so a shard is a piece of the tree."""
+        return leaf * SHARDS // self.leaves
+
     def order(self, query: np.ndarray) -> Iterator[int]:
         """Leaves, nearest branch first."""
         away = ((self.centroids - query) ** 2).sum(axis=1)
@@ -117,19 +125,36 @@ def _fit(table: pa.Table) -> pa.Table:
     return pa.table({"tree": pa.array([cloudpickle.dumps(Tree(unit(matrix(table.column("embedding")))))], pa.binary())})
 
 
-def _best(query: np.ndarray, queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _products(queries: np.ndarray, vectors: np.ndarray, visits: list[tuple[int, int, np.ndarray]] | None) -> np.ndarray:
+    """Products of all queries with all vectors, or with the runs of rows (from, to) that the numbered queries visit."""
+    if visits is None:
+        return queries @ vectors.T
+    out = np.full((len(queries), len(vectors)), -np.inf)
+    for start, stop, who in visits:
+        out[who, start:stop] = queries[who] @ vectors[start:stop].T
+    return out
+
+
+def _best(query: np.ndarray, queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, count: int, visits: list[tuple[int, int, np.ndarray]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each query the ``count`` rows of largest cosine, ties to smaller ``ids``: query numbers, row numbers, cosines.
 
-    A blocked product proposes every row within its rounding error of the ``count``-th best; the exact cosines of those
-    decide, so rows of equal cosine (positive multiples of one vector) are never chosen by their place.
+    ``visits`` holds runs of rows (from, to) with the sorted places of the queries that look at them; without it every
+    query looks at every row. A blocked product proposes every row within its rounding error of the ``count``-th best;
+    the exact cosines of those decide, so rows of equal cosine (positive multiples of one vector) are never chosen by
+    their place.
     """
     count = min(count, len(vectors))
     u = unit(vectors)
     found_q, found_r, found_s = [], [], []
-    for first in range(0, len(queries), 512):
-        near = unit(queries[first : first + 512]) @ u.T
+    step = max(1, BLOCK // len(vectors))
+    for first in range(0, len(queries), step):
+        last = first + step
+        inside = visits and [(a, b, who[np.searchsorted(who, first) : np.searchsorted(who, last)] - first) for a, b, who in visits]
+        near = _products(unit(queries[first:last]), u, inside)
         least = np.partition(near, near.shape[1] - count, axis=1)[:, near.shape[1] - count]
-        proposed_q, proposed_r = np.nonzero(near >= least[:, None] - MARGIN)
+        proposed_q, proposed_r = np.nonzero((near >= least[:, None] - MARGIN) & (near > -np.inf))
+        if not len(proposed_q):
+            continue
         score = np.concatenate([cosine(queries[first + proposed_q[i : i + PAIRS]], vectors[proposed_r[i : i + PAIRS]]) for i in range(0, len(proposed_q), PAIRS)])
         order = np.lexsort((ids[proposed_r], -score, proposed_q))
         q = proposed_q[order]
@@ -138,7 +163,8 @@ def _best(query: np.ndarray, queries: np.ndarray, rows: np.ndarray, ids: np.ndar
         found_q.append(query[first + proposed_q[keep]])
         found_r.append(rows[proposed_r[keep]])
         found_s.append(score[keep])
-    return np.concatenate(found_q), np.concatenate(found_r), np.concatenate(found_s)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *found_q]), np.concatenate([none, *found_r]), np.concatenate([np.zeros(0), *found_s])
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -194,34 +220,50 @@ def search(embeddings: DataFrame, every: int = 50, k: int = 5, target: float = T
     def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = cloudpickle.loads(shared.value)
         for b in batches:
-            ids, leaves = [], []
+            at, shards, leaves = [], [], []
             for i, q in enumerate(unit(matrix(b.column("embedding"))) if b.num_rows else []):
                 have = seen = 0
+                visited: dict[int, list[int]] = {}
                 for leaf in own.order(q):
                     if leaf in held:
-                        ids.append(i), leaves.append(leaf)
+                        visited.setdefault(own.shard(leaf), []).append(leaf)
                         have += held[leaf]
                     seen += 1
                     if seen >= visits and have > k:
                         break
-            yield pa.RecordBatch.from_arrays([b.column("vec_id").take(pa.array(ids, pa.int64())), b.column("embedding").take(pa.array(ids, pa.int64())), pa.array(leaves, pa.int32())], names=["vec_id", "embedding", "leaf"])
-
-    asked = staged(queries.select("vec_id", "embedding").mapInArrow(walk, "vec_id long, embedding array<double>, leaf int"), "ann-visits")
-    askers = asked.groupBy("leaf").agg(F.count("*").alias("askers"))
-    parts = placed.groupBy("leaf").agg(F.count("*").alias("rows")).join(askers, "leaf").select("leaf", F.expr(f"cast(ceil(rows / {CELL_ROWS}) as int)").alias("row_parts"), F.expr(f"cast(ceil(askers / {CELL_QUERIES}) as int)").alias("query_parts"))
-    parts = staged(parts, "ann-cells")
-    r = placed.join(parts, "leaf").withColumn("row_part", F.expr("cast(pmod(xxhash64(vec_id), row_parts) as int)")).withColumn("query_part", F.explode(F.expr("sequence(0, query_parts - 1)")))
-    q = asked.join(parts, "leaf").withColumn("query_part", F.expr("cast(pmod(xxhash64(vec_id), query_parts) as int)")).withColumn("row_part", F.explode(F.expr("sequence(0, row_parts - 1)")))
-    cell = ["leaf", "row_part", "query_part"]
+                at += [i] * len(visited)
+                shards += visited.keys()
+                leaves += visited.values()
+            take = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("vec_id").take(take), b.column("embedding").take(take), pa.array(shards, pa.int32()), pa.array(leaves, pa.list_(pa.int32()))], names=["vec_id", "embedding", "shard", "leaves"])
+
+    tasks = max(1, math.ceil(queries.count() / WALK_QUERIES))
+    asked = staged(queries.select("vec_id", "embedding").repartition(tasks, "vec_id").mapInArrow(walk, "vec_id long, embedding array<double>, shard int, leaves array<int>"), "ann-visits")
+    sizes: dict[int, int] = {}
+    for leaf, count in held.items():
+        sizes[tree.shard(leaf)] = sizes.get(tree.shard(leaf), 0) + count
+    askers = {r.shard: r["count"] for r in asked.groupBy("shard").count().collect()}  # one row per shard
+    cell_rows = max(1, CELL_VALUES // widths[0]["width"])
+    parts = F.broadcast(spark.createDataFrame([(i, math.ceil(n / cell_rows), math.ceil(askers[i] / CELL_QUERIES)) for i, n in sizes.items() if i in askers], "shard int, row_parts int, query_parts int"))  # at most SHARDS rows
+    r = placed.withColumn("shard", F.expr(f"cast(leaf * {SHARDS}L div {tree.leaves} as int)")).join(parts, "shard").withColumn("row_part", F.expr("cast(pmod(xxhash64(vec_id), row_parts) as int)")).withColumn("query_part", F.explode(F.expr("sequence(0, query_parts - 1)")))
+    q = asked.join(parts, "shard").withColumn("query_part", F.expr("cast(pmod(xxhash64(vec_id), query_parts) as int)")).withColumn("row_part", F.explode(F.expr("sequence(0, row_parts - 1)")))
+    cell = ["shard", "row_part", "query_part"]
 
     def meet(asks: pa.Table, there: pa.Table) -> pa.Table:
         if not asks.num_rows or not there.num_rows:
             return pa.table({"query": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64()), "ids": pa.array([], pa.list_(pa.int64()))})
-        a, b, s = _best(asks.column("vec_id").to_numpy(), matrix(asks.column("embedding")), np.arange(there.num_rows), there.column("vec_id").to_numpy(), matrix(there.column("embedding")), k + 3)
+        there = there.sort_by("leaf")
+        leaf = there.column("leaf").to_numpy()
+        lists = asks.column("leaves").combine_chunks()
+        wanted, who = lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        order = np.lexsort((who, wanted))
+        wanted, who = wanted[order], who[order]
+        runs = [(*np.searchsorted(leaf, [n, n + 1]).tolist(), who[slice(*np.searchsorted(wanted, [n, n + 1]))]) for n in np.unique(leaf)]
+        a, b, s = _best(asks.column("vec_id").to_numpy(), matrix(asks.column("embedding")), np.arange(there.num_rows), there.column("vec_id").to_numpy(), matrix(there.column("embedding")), k + 1, runs)
         at = pa.array(b)
         return pa.table({"query": pa.array(a), "vec_id": there.column("vec_id").take(at), "score": pa.array(s), "ids": there.column("ids").take(at)})
 
-    met = q.select(*cell, "vec_id", "embedding").groupBy(*cell).cogroup(r.select(*cell, "vec_id", "embedding", "ids").groupBy(*cell)).applyInArrow(meet, "query long, vec_id long, score double, ids array<long>")
+    met = q.select(*cell, "vec_id", "embedding", "leaves").groupBy(*cell).cogroup(r.select(*cell, "vec_id", "embedding", "ids", "leaf").groupBy(*cell)).applyInArrow(meet, "query long, vec_id long, score double, ids array<long>")
     near = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     best = staged(met.withColumn("n", F.row_number().over(near)).filter(F.col("n") <= k + 1).select("query", "score", "ids"), "ann-best")
     each = asking.select("query_id", F.col("vec_id").alias("query")).join(best, "query").select("query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")

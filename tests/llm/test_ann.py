@@ -88,3 +88,37 @@ def test_the_cut_keeps_every_tie_before_it_chooses():
     vectors = np.vstack([np.ones((30, 4)) * np.arange(30, 0, -1)[:, None], np.eye(4)])
     q, rows, score = ann._best(np.array([7]), np.ones((1, 4)), np.arange(34), np.arange(100, 66, -1), vectors, 3)
     assert q.tolist() == [7, 7, 7] and rows.tolist() == [29, 28, 27] and score.tolist() == [1.0] * 3
+
+
+def test_visited_runs_alone_are_searched():
+    r = np.random.default_rng(4)
+    vectors, queries = r.standard_normal((60, 8)), r.standard_normal((7, 8))
+    runs = [(0, 20, np.array([0, 2, 3])), (20, 25, np.array([1, 3])), (25, 60, np.array([], int))]
+    q, rows_, score = ann._best(np.arange(7), queries, np.arange(60), np.arange(60), vectors, 6, runs)
+    for i, want in ((0, range(20)), (1, range(20, 25)), (2, range(20)), (3, range(25)), (4, [])):
+        best = sorted(want, key=lambda n: -exact(queries[i], vectors[n]))[:6]
+        assert rows_[q == i].tolist() == best and score[q == i].tolist() == pytest.approx([exact(queries[i], vectors[n]) for n in best])
+    assert not len(ann._best(np.arange(7), queries, np.arange(60), np.arange(60), vectors, 6, [(0, 60, np.array([], int))])[0])
+
+
+def exact(a, b):
+    return float((a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum())))
+
+
+def test_cells_cut_rows_and_queries(spark, monkeypatch):
+    """Shards of many parts, on both sides, find what whole shards find."""
+    data = spark.createDataFrame(rows(), SCHEMA)
+    whole = sorted(map(tuple, ann.search(data, every=10).collect()))
+    monkeypatch.setattr(ann, "CELL_VALUES", 16 * 20)
+    monkeypatch.setattr(ann, "CELL_QUERIES", 5)
+    monkeypatch.setattr(ann, "WALK_QUERIES", 10)
+    assert sorted(map(tuple, ann.search(data, every=10).collect())) == whole
+
+
+def test_extra_columns_with_clashing_names(spark):
+    from pyspark.sql import functions as F
+
+    data = spark.createDataFrame(rows(300), SCHEMA)
+    names = ["leaf", "shard", "ids", "n", "score", "query", "rank", "leaves"]
+    more = data.select("*", *[F.lit("x").alias(c) for c in names])
+    assert sorted(map(tuple, ann.search(more).collect())) == sorted(map(tuple, ann.search(data).collect()))
