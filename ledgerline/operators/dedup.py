@@ -32,18 +32,37 @@ def min_link(df: DataFrame, key: str, target: str, ordering: str = "native") ->
     if ordering == "native":
         return df.groupBy(key).agg(F.min(F.col(target)).alias(target))
     if ordering == "numeric":
-        number = F.col(target).cast("string").try_cast("decimal(38,10)")
-        order_expr = F.when(
-            F.col(target).isNotNull(),
-            F.struct(number.isNull().alias("text"), number.alias("number"), F.col(target).cast("string").alias("target")),
-        )
-    elif ordering == "text":
+        return _min_numeric(df, key, target)
+    if ordering == "text":
         order_expr = F.col(target).cast("string")
     else:
         raise ValueError(f"unknown ordering: {ordering}")
     return df.groupBy(key).agg(F.min_by(F.col(target), order_expr).alias(target))
 
 
+def _min_numeric(df: DataFrame, key: str, target: str) -> DataFrame:
+    """MIN by number, as a hash aggregate.
+
+    A whole number in its usual spelling is its 64-bit value and back, so those targets are aggregated as longs, whose
+    buffer has a fixed width. All other targets (``'099'``, ``'1.5'``, words) are ranked as text and number in an
+    aggregate of their own, which sorts; it reads the input a second time but only those rows reach it. A key with
+    both kinds takes the smaller of its two results.
+    """
+    value, usual, whole, odd, odd_key = "__value", "__usual", "__whole", "__odd", "__odd_key"
+
+    def rank(c: Column) -> Column:
+        number = c.cast("string").try_cast("decimal(38,10)")
+        return F.struct(number.isNull().alias("text"), number.alias("number"), c.cast("string").alias("target"))
+
+    read = df.select(key, target, F.col(target).cast("string").try_cast("bigint").alias(value))
+    read = read.withColumn(usual, F.coalesce(F.col(value).cast("string") == F.col(target).cast("string"), F.lit(False)))
+    wholes = read.groupBy(key).agg(F.min(F.when(F.col(usual), F.col(value))).alias(whole))
+    odds = read.filter(F.col(target).isNotNull() & ~F.col(usual)).groupBy(F.col(key).alias(odd_key)).agg(F.min_by(F.col(target), rank(F.col(target))).alias(odd))
+    spelled = F.col(whole).cast("string").cast(df.schema[target].dataType)
+    pick = F.when(F.col(odd).isNull(), spelled).when(F.col(whole).isNull(), F.col(odd)).when(rank(spelled) < rank(F.col(odd)), spelled).otherwise(F.col(odd))
+    return wholes.join(odds, wholes[key].eqNullSafe(odds[odd_key]), "left").select(wholes[key], pick.alias(target))
+
+
 def link_ordering(link: DataFrame, target: str, other: DataFrame, other_key: str) -> str:
     """The order that the two sides of a link call for: ``native`` when neither is text, ``numeric`` when every set key
     of both is a number, else ``text``. One aggregate per side; two counts come back to the driver."""

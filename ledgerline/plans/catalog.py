@@ -21,7 +21,7 @@ from ledgerline.operators.increments import IncrementalDedup
 from ledgerline.plans import acceptance, reporting
 from ledgerline.plans import chain as C
 from ledgerline.session import scratch_path
-from ledgerline.sources import files, infer, snapshots, versions
+from ledgerline.sources import files, infer, publication, snapshots, versions
 from ledgerline.sources import tables as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -870,6 +870,25 @@ def q_published_roundtrip(spark, d):
     return files.read_csv(spark, f"{root}/ca_par_produit", kinds)
 
 
+@register("published_commit", DIRTY_SQL + "SELECT * FROM fusion")
+def q_published_commit(spark, d):
+    """The fused table published as one ordered CSV set under a name that held an older set, and fetched by its manifest
+    after every part was checked. Jobs at build time: the writes and the check."""
+    root = scratch_path(spark, "publication")
+    fused = _dirty(spark, d).fused
+    publication.publish(fused.filter("price > 1000"), root)
+    publication.publish(fused, root, order_by=["product_id"], part_rows=100_000)
+    return publication.read(spark, root)
+
+
+@register("published_texts", "SELECT doc_id, lang, source, text FROM documents")
+def q_published_texts(spark, d):
+    """Whole texts (line breaks, quotes, empty texts apart from NULL) published as one set and fetched by its manifest."""
+    root = scratch_path(spark, "publication-texts")
+    publication.publish(T.table(spark, d, "documents").select("doc_id", "lang", "source", "text"), root, part_rows=20_000)
+    return publication.read(spark, root)
+
+
 @register("split_roundtrip", DIRTY_SQL + "SELECT event_id, user_id, CASE WHEN isnan(value) THEN NULL ELSE value END AS value, z_score, type FROM zscore")
 def q_split_roundtrip(spark, d):
     """Both label sets written in one pass, then read label by label. Job at build time: the write."""

@@ -154,3 +154,36 @@ def test_latest_per_key_all_columns_tie_break_is_deterministic(spark):
         out = dedup.latest_per_key(df.repartition(parts), "sku", "t", tie_breakers="all")
         got = {r["sku"]: (r["title"], r["r"]) for r in out.collect()}
         assert got == {"a": ("y", 2.0), "b": ("z", 1.0)}
+
+
+def test_numeric_min_link_equals_the_plain_rule(spark):
+    """Whole numbers, other spellings, words, NULL targets and the NULL key, against a loop over the rows."""
+    from decimal import Decimal, InvalidOperation
+
+    targets = ["99", "099", "100", " 7 ", "7", "-3", "+3", "3.0", "2.5", "x1", "x0", "", "9" * 19, "9" * 25, "-0", "0", None]
+    rows = [(k % 23 if k % 23 else None, targets[(k * k + k // 7) % len(targets)]) for k in range(400)] + [(100, None), (101, "b"), (101, "a"), (102, "b"), (102, "0050"), (102, "50")]
+
+    def rank(t):
+        try:
+            return (0, Decimal(t.strip()), t)
+        except InvalidOperation:
+            return (1, Decimal(0), t)
+
+    want = {}
+    for k, t in rows:
+        if t is not None:
+            want[k] = min(want.get(k, t), t, key=rank) if want.get(k) is not None else t
+        else:
+            want.setdefault(k, None)
+    df = spark.createDataFrame(rows, "k long, t string").repartition(3)
+    got = dedup.min_link(df, "k", "t", "numeric")
+    assert {r.k: r.t for r in got.collect()} == want and got.columns == ["k", "t"]
+    typed = dedup.min_link(df.selectExpr("k", "try_cast(t AS bigint) AS t"), "k", "t", "numeric")
+    assert typed.schema["t"].dataType.simpleString() == "bigint"
+
+
+def test_numeric_min_link_hashes_whole_numbers(spark):
+    df = spark.createDataFrame([(1, "2")], "k long, t string")
+    plan = dedup.min_link(df, "k", "t", "numeric")._jdf.queryExecution().sparkPlan().toString()
+    left = plan.split("SortAggregate")[0]
+    assert "HashAggregate" in left and "min(" in left
