@@ -26,6 +26,7 @@ BLOCKS = 4096
 GRID = 32  # parts that a round of the bisection cuts its interval into
 ROUNDS = 6
 WORD = r"[^\x20\x09-\x0D]+"
+NOT_SPACE = r"[^\x20\x09-\x0D]"
 
 
 def token_count(text: Column) -> Column:
@@ -100,8 +101,12 @@ def mix(docs: DataFrame, budget: int | None = None, repetitions: float | None =
     source). ``budget`` is in tokens; by default all tokens of ``docs``. A row without tokens is never drawn. Rows that
     repeat a doc_id are drawn each for itself; a null doc_id or source is a value like any other.
     """
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("n_tokens", token_count(F.col(f"row.{text}"))).filter("n_tokens > 0")
+    # Splitting texts is most of the work: rows without tokens go by their first word, and n_tokens is counted where it is
+    # used, after the joins, so that no condition on it makes Spark count a text twice.
+    own_text = F.col(f"row.{text}").cast("string")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).filter(own_text.rlike(NOT_SPACE))
     rows = rows.withColumn("source", F.col(f"row.{source}"))
+    n_tokens = token_count(own_text)
     sources = staged(source_tokens(docs, text, source), "mix-sources")
     if budget is None:
         budget = int(sources.agg(F.sum("tokens")).first()[0] or 0)
@@ -110,16 +115,24 @@ def mix(docs: DataFrame, budget: int | None = None, repetitions: float | None =
     # a source without a quota is not drawn (sequence(1, 0) would count down)
     drawn = rows.join(quota.filter("quota > 0").select(F.col("source").alias("of"), "weight", "epochs", "rest"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     epoch = F.expr("sequence(1, cast(epochs as int) + if(rest > 0, 1, 0))")
-    drawn = drawn.withColumn("epoch", F.explode(epoch)).withColumn("place", F.xxhash64(F.lit(seed), "epoch", "row.doc_id", F.col(f"row.{text}")))
-    drawn = drawn.withColumn("block", F.pmod("place", F.lit(BLOCKS)).cast("int")).withColumn("last", F.expr("epoch > epochs"))
+    drawn = drawn.withColumn("epoch", F.explode(epoch)).withColumn("last", F.expr("epoch > epochs"))
+
+    def placed(some: DataFrame) -> DataFrame:
+        some = some.withColumn("place", F.xxhash64(F.lit(seed), "epoch", "row.doc_id", F.col(f"row.{text}")))
+        return some.withColumn("block", F.pmod("place", F.lit(BLOCKS)).cast("int"))
 
     # the last epoch of each source: whole blocks below the quota, and part of the block in which it ends
-    last = drawn.filter("last").groupBy("source", "rest", "epoch", "block").agg(F.sum("n_tokens").alias("tokens"))
+    ending = placed(drawn.filter("last"))
+    last = ending.groupBy("source", "rest", "epoch", "block").agg(F.sum(n_tokens).alias("tokens"))
     over = Window.partitionBy("source").orderBy("block")
     upto = last.withColumn("upto", F.sum("tokens").over(over)).withColumn("left", F.expr("rest - (upto - tokens)"))
     limits = staged(upto.filter("left > 0").select(F.col("source").alias("of"), F.col("block").alias("at"), "left", F.expr("left >= tokens").alias("whole")), "mix-limits")
-    partial = drawn.filter("last").join(limits, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at"))).drop("of", "at")
+
+    def limited(some: DataFrame) -> DataFrame:
+        return ending.join(some, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at"))).drop("of", "at").withColumn("n_tokens", n_tokens)
+
     inside = Window.partitionBy("source", "block").orderBy("place", F.col("row.doc_id"))
-    ends = partial.filter("not whole").withColumn("upto", F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0))).filter("upto <= left").drop("upto")
+    ends = limited(limits.filter("not whole")).withColumn("upto", F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0))).filter("upto <= left").drop("upto")
     columns = ["row", "n_tokens", "epoch", "block", "weight"]
-    return drawn.filter("not last").select(*columns).union(partial.filter("whole").select(*columns)).union(ends.select(*columns))
+    whole_epochs = placed(drawn.filter("not last")).withColumn("n_tokens", n_tokens)
+    return whole_epochs.select(*columns).union(limited(limits.filter("whole")).select(*columns)).union(ends.select(*columns))

@@ -88,3 +88,13 @@ def test_sources_without_a_quota_are_not_drawn(spark):
 
 def test_empty_table(no_docs):
     assert mixing.mix(no_docs).collect() == []
+
+
+def test_texts_are_split_once_a_pass(docs, monkeypatch):
+    plans = []
+    write = mixing.staged
+    monkeypatch.setattr(mixing, "staged", lambda df, label: plans.append(df) or write(df, label))
+    plans.append(mixing.mix(docs))
+    for df in plans:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Filter" in line and "regexp_extract_all" in line]
