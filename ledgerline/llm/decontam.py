@@ -3,12 +3,13 @@
 A window is ``WINDOW`` consecutive words of a benchmark item (a shorter item is one window); a document word inside any
 occurrence of a window is hit. For a window to occur, the set of its word shingles must be contained in the document's:
 
-1. One pass over the documents keeps the places where any shingle of any item starts (matching by 64-bit hash).
+1. One pass over the documents keeps the places where any shingle of any item starts (matching by 64-bit hash), and one
+   more row per document with its number of words.
 2. The places give every shingle's frequency in the corpus, so each window's shingles are ordered by rarity. Full
    containment needs a prefix of one token: the window's rarest shingle. A window with a shingle that occurs nowhere is
    out at once.
 3. Places of the prefix shingle propose the window's start; the start and the window's length must fit in the document.
-4. What is left is verified word by word on the document.
+4. What is left is verified word by word on the document. Only texts with a proposed start are split and shuffled again.
 
 No side is broadcast by a hint: the item tables are stage tables whose written size Spark knows, and it broadcasts them
 only below ``spark.sql.autoBroadcastJoinThreshold``; beyond it the joins are shuffled.
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.shared import staged
 
 WINDOW, SHINGLE = 13, 5
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[a-z0-9\x{80}-\x{10FFFF}]+"  # of lower-cased text; Java's regex takes a tenth of the time of [^\x00-\x2F\x3A-\x60\x7B-\x7F]+
+SPREAD = 1024  # join keys of the rows that hold a document's number of words
 
 
 def lower_ascii(text: Column) -> Column:
@@ -71,14 +73,23 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     shingled = staged(shingled, "decontam-shingles")
     wanted = staged(shingled.select("n", "hash").distinct(), "decontam-wanted")
 
-    # 1. places where a shingle of an item starts
+    # 1. places where a shingle of an item starts; of every document one row at -1 (its key in the join is one of SPREAD)
     split = rows.select("doc_id", "text_key", words_of(F.col("text")).alias("w"))
     places = None
     for n in lengths:
-        at = split.select("doc_id", "text_key", F.size("w").alias("n_words"), F.posexplode(_shingles("w", n)).alias("pos", "hash"))
-        some = at.join(wanted.filter(F.col("n") == n), "hash").select("doc_id", "text_key", "n_words", "pos", "n", "hash")
+        counted = places is None
+        starting = f"sequence(-1, greatest(size(w) - {n}, -1))" if counted else f"CASE WHEN size(w) >= {n} THEN sequence(0, size(w) - {n}) ELSE array() END"
+        at = split.select("doc_id", "text_key", "w", F.size("w").alias("n_words"), F.explode(F.expr(starting)).alias("pos"))
+        words = ", ".join(f"get(w, pos + {j})" for j in range(n))
+        at = at.select("doc_id", "text_key", "n_words", "pos", F.expr(f"IF(pos < 0, pmod(text_key, {SPREAD}), xxhash64({words}))").alias("hash"))
+        own = wanted.filter(F.col("n") == n)
+        if counted:
+            own = own.union(docs.sparkSession.range(SPREAD).select(F.lit(n).alias("n"), "id")).distinct()
+        some = at.join(own, "hash").select("doc_id", "text_key", "n_words", "pos", "n", "hash")
         places = some if places is None else places.union(some)
     places = staged(places, "decontam-places")
+    counts = places.filter("pos < 0").select("doc_id", "text_key", F.col("n_words").cast("long").alias("n_words"))
+    places = places.filter("pos >= 0")
 
     # 2. the rarest shingle of each window
     often = places.groupBy("n", "hash").agg(F.count("*").alias("often"))
@@ -89,31 +100,29 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     # 3. starts that fit
     starts = places.join(prefix, ["n", "hash"]).withColumn("start", F.col("pos") - F.col("offset"))
     starts = starts.filter(F.expr("start >= 0 AND start + size(win) <= n_words"))
-    proposed = starts.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "win")).alias("proposed"))
+    proposed = staged(starts.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "win")).alias("proposed")), "decontam-proposed")
 
     # 4. verify on the words
-    mine, theirs = rows.alias("d"), proposed.alias("p")
-    on = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.text_key") == F.col("p.text_key"))
-    joined = mine.join(theirs, on, "left").select("d.doc_id", "d.text_key", words_of(F.col("d.text")).alias("w"), "p.proposed")
-    found = joined.select("doc_id", "text_key", F.size("w").cast("long").alias("n_words"), F.expr("filter(proposed, p -> slice(w, p.start + 1, size(p.win)) = p.win)").alias("found"))
+    def same(left: str, right: str) -> Column:
+        return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (F.col(f"{left}.text_key") == F.col(f"{right}.text_key"))
+
+    keys = staged(proposed.select("doc_id", "text_key"), "decontam-keys")  # a small table of its own, so that Spark may broadcast it
+    mine = rows.alias("d").join(keys.alias("k"), same("d", "k"), "left_semi")
+    joined = mine.join(proposed.alias("p"), same("d", "p")).select("d.doc_id", "d.text_key", words_of(F.col("d.text")).alias("w"), "p.proposed")
+    found = joined.select("doc_id", "text_key", F.expr("filter(proposed, p -> slice(w, p.start + 1, size(p.win)) = p.win)").alias("found"))
     covered = F.expr("size(array_distinct(flatten(transform(found, f -> sequence(f.start, f.start + size(f.win) - 1)))))")
-    judged = staged(
-        found.select(
-            "doc_id", "text_key", "n_words",
-            F.when(F.coalesce(F.size("found"), F.lit(0)) > 0, covered).otherwise(0).cast("long").alias("n_hit"),
-            F.expr("array_distinct(transform(found, f -> f.win))").alias("wins"),
-        ),
-        "decontam-judged",
-    )
-    named = judged.filter("n_hit > 0").select("doc_id", "text_key", F.explode("wins").alias("win")).join(pairs, "win").filter("item_id is not null")
+    judged = found.filter(F.size("found") > 0).select("doc_id", "text_key", covered.cast("long").alias("n_hit"), F.expr("array_distinct(transform(found, f -> f.win))").alias("wins"))
+    judged = staged(judged.dropDuplicates(["doc_id", "text_key"]), "decontam-judged")
+    named = judged.select("doc_id", "text_key", F.explode("wins").alias("win")).join(pairs, "win").filter("item_id is not null")
     listed = named.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    j, k = judged.alias("j"), listed.alias("k")
-    both = j.join(k, F.col("j.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("j.text_key") == F.col("k.text_key")), "left")
-    return both.select(
-        "j.doc_id", "j.text_key", "j.n_words", "j.n_hit",
-        F.coalesce("k.items", F.array().cast("array<string>")).alias("items"),
-        F.expr("n_hit > 0 AND 20 * n_hit >= n_words").alias("contaminated"),
+    hits = judged.alias("j").join(listed.alias("l"), same("j", "l"), "left").select("j.doc_id", "j.text_key", "j.n_hit", "l.items")
+    both = counts.alias("c").join(hits.alias("h"), same("c", "h"), "left")
+    both = both.select(
+        "c.doc_id", "c.text_key", "c.n_words",
+        F.coalesce("h.n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("h.items", F.array().cast("array<string>")).alias("items"),
     )
+    return both.withColumn("contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words"))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -53,3 +53,16 @@ def test_main_path_has_no_python(spark, docs, rows):
     bench = spark.createDataFrame(items_of(rows), "item_id long, text string")
     plan = decontam.digest(decontam.contamination(docs, bench))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_texts_without_a_place_are_split_once(spark, docs, rows, monkeypatch):
+    plans = {}
+    write = decontam.staged
+    monkeypatch.setattr(decontam, "staged", lambda df, label: plans.setdefault(label, df) and write(df, label))
+    bench = spark.createDataFrame(items_of(rows), "item_id long, text string")
+    result = decontam.contamination(docs, bench)
+    assert "regexp_extract_all" not in result._jdf.queryExecution().optimizedPlan().toString()
+    judged = plans["decontam-judged"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in judged and judged.index("regexp_extract_all") < judged.index("LeftSemi")
+    places = plans["decontam-places"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in places  # shingles are hashed in generated code, not one by one in a lambda
