@@ -6,6 +6,8 @@ to the minimiser's bucket; there the windows are sorted and equal ones counted e
 
 * Before the shuffle, equal packed strings of a block are collapsed: the smallest doc_id of the block goes on, the
   others are already known to repeat it. A group of copies therefore sends one string per block, not per document.
+* Repeated windows that follow one another in a text are one range, however they travelled: a passage that many
+  documents have is a range per document, not one per window.
 * In a bucket, strings whose minimiser occurs in one document only are put aside by their minimiser bits alone.
 * A minimiser that is common in a sample (a template, a frequent word sequence) would make a hot bucket. Its windows
   travel one by one, dealt by the hash of the whole window. The sample only decides where windows go, never the result.
@@ -125,7 +127,9 @@ def _super_kmers(k: int, buckets: int, hot: np.ndarray):
 
             known = np.flatnonzero(repeats)
             if len(known):
-                put(int(docs[row[known[0]]] % buckets), known, windows[known].astype(np.uint32), b"", True)
+                whole, length = _merged(row[known], place[known], windows[known])
+                known = known[whole]
+                put(int(docs[row[known[0]]] % buckets), known, length.astype(np.uint32), b"", True)
             sent = np.flatnonzero(~repeats)
             bucket = (low[sent] >> np.uint64(32)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
@@ -148,6 +152,32 @@ def _ranges(docs: np.ndarray, keys: np.ndarray, places: np.ndarray, windows: np.
     return pa.table({"doc_id": pa.array(docs, pa.int64()), "key": pa.array(keys, pa.int64()), "start": pa.array(places.astype(np.int32)), "windows": pa.array(windows.astype(np.int32))})
 
 
+def _merged(row: np.ndarray, place: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of windows, ordered by ``row`` and ``place``, with each that begins where its row's last one ends put to it.
+
+    Returns which ranges begin a merged one, and how many windows each of those holds.
+    """
+    begins = np.ones(len(row), bool)
+    begins[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + windows[:-1])
+    first = np.flatnonzero(begins)
+    return first, np.add.reduceat(windows, first)
+
+
+def _joined(found: pa.Table) -> pa.Table:
+    """The ranges of a bucket, with those of one text that touch put together and equal ones left once."""
+    if not found.num_rows:
+        return found
+    docs, keys, places, windows = (found.column(c).to_numpy() for c in found.column_names)
+    order = np.lexsort((windows, places, keys, docs))
+    docs, keys, places, windows = (x[order] for x in (docs, keys, places, windows))
+    once = np.ones(len(docs), bool)
+    once[1:] = (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1]) | (places[1:] != places[:-1]) | (windows[1:] != windows[:-1])
+    docs, keys, places, windows = (x[once] for x in (docs, keys, places, windows))
+    text = np.cumsum(np.concatenate([[True], (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1])]))
+    first, length = _merged(text, places, windows)
+    return _ranges(docs[first], keys[first], places[first], length)
+
+
 def _repeats(k: int):
     """Windows of a bucket that also start in a document with a smaller id."""
 
@@ -183,7 +213,7 @@ def _repeats(k: int):
                 found.append(_count(strings, docs[shared], keys[shared], places[shared], k))
                 del strings
                 give_back()
-        return pa.concat_tables(found)
+        return _joined(pa.concat_tables(found))
 
     return run
 

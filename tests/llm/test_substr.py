@@ -83,3 +83,15 @@ def test_packed_integers():
         x = np.arange(1000).astype(kind)
         assert (substr.unpack_ints(substr.pack_ints(x), kind) == x).all()
     assert len(substr.unpack_ints(b"", np.int64)) == 0
+
+
+def test_common_passage_is_one_range_a_document(spark, monkeypatch):
+    r = random.Random(6)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join([*(f"a{i}x{j}" for j in range(r.randint(0, 9))), *passage, *(f"b{i}x{j}" for j in range(r.randint(0, 9)))])) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = []
+    write = substr.staged
+    monkeypatch.setattr(substr, "staged", lambda df, label: kept.append(write(df, label)) or kept[-1])
+    assert found(docs, 13) == brute(rows, 13)
+    assert kept[0].count() < 3 * len(rows)  # 48 windows a document
