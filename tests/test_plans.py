@@ -105,3 +105,8 @@ def test_bucketed_stages_colocate_the_fusion(spark):
     assert plan.count("Arguments: hashpartitioning") == 2
     assert not [r for r in spark.sql("SHOW TABLES").collect() if r["tableName"].startswith("ledgerline_")]
     assert "SortMergeJoin" in plan
+
+
+def test_csv_drops_are_parsed_once(spark):
+    plan = _plan(E.queries()["csv_landing"](spark, SF_SMALL))
+    assert "Scan parquet" in plan and "Scan csv" not in plan
